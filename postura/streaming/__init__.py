@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+Every report of the source tool is a batch query that rescans its tables on each run: there
+is no event-time window, watermark, state or incremental read to carry over, so this package
+deliberately provides nothing (see README, "Not built").
+"""
