@@ -1,16 +1,20 @@
 """Join on ``r.key = l.k1 OR r.key = l.k2 OR ...`` without a nested-loop join.
 
 A literal OR condition has no equi-join key, so Spark would plan a BroadcastNestedLoopJoin
-(every left row against every right row). Instead each distinct left key tuple is exploded
-into its distinct non-null keys and equi-joined to the right side: a right row equals at
-most one distinct key, so it matches a tuple exactly once, as under the OR.
+(every left row against every right row). Instead every left row is exploded over its
+distinct non-null keys and equi-joined to the right side. A right row equals at most one
+distinct key of a left row, so it matches that row exactly once, as under the OR.
+
+For the left-outer form the exploded rows that found no partner are surplus: a left row keeps
+them only when none of its keys matched, and then exactly one of them. That decision is a
+window over the rows of one left row, so the left side is read once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,23 +24,38 @@ def any_key_join(
     right: DataFrame,
     right_key: str,
     how: str = "left",
+    row_identity: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """``left JOIN right ON right.right_key IN (keys...)``; keys are compared as text.
 
     ``how`` is ``"inner"`` or ``"left"``. Output: all left columns plus the right columns
     other than ``right_key``.
+
+    Left form only: ``row_identity`` names left columns that, together with the keys,
+    identify a left row's exploded rows (rows with equal keys always match alike, so the keys
+    alone are enough; adding e.g. the primary key lets a later window reuse the partitioning).
+    ``cluster_by`` (a subset of ``row_identity``) is the hash partitioning applied before the
+    window, so a following window partitioned by the same columns needs no extra shuffle.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    tcols = [f"__k{i}" for i in range(len(keys))]
-    pcols = [f"__p{i}" for i in range(len(keys))]
-    tagged = left.select("*", *[k.cast("string").alias(t) for k, t in zip(keys, tcols)])
-    probe = (
-        tagged.select(*[F.col(t).alias(p) for t, p in zip(tcols, pcols)])
-        .distinct()
-        .select(*pcols, F.explode(F.array_distinct(F.array_compact(F.array(*pcols)))).alias("__k"))
+    kcols = [f"__k{i}" for i in range(len(keys))]
+    tagged = left.select("*", *[k.cast("string").alias(c) for k, c in zip(keys, kcols)])
+    distinct_keys = F.array_distinct(F.array_compact(F.array(*kcols)))
+    exploded = tagged.select("*", distinct_keys.alias("__keys")).select(
+        "*", F.explode_outer("__keys").alias("__k")
     )
     r = right.select(F.col(right_key).alias("__rk"), *[c for c in right.columns if c != right_key])
-    matched = probe.join(r.where(F.col("__rk").isNotNull()), F.col("__k") == F.col("__rk")).drop("__k", "__rk")
-    cond = [F.col(t).eqNullSafe(F.col(p)) for t, p in zip(tcols, pcols)]
-    return tagged.join(matched, cond, how).drop(*tcols, *pcols)
+    r = r.where(F.col("__rk").isNotNull())
+    if how == "inner":
+        return exploded.join(r, F.col("__k") == F.col("__rk")).drop(*kcols, "__keys", "__k", "__rk")
+
+    joined = exploded.join(r, F.col("__k") == F.col("__rk"), "left")
+    if cluster_by:
+        joined = joined.repartition(*cluster_by)
+    ident = [*row_identity, *kcols]
+    any_match = F.max(F.col("__rk").isNotNull().cast("int")).over(Window.partitionBy(*ident))
+    designated = F.col("__k").isNull() | (F.col("__k") == F.element_at("__keys", 1))
+    keep = F.col("__rk").isNotNull() | ((F.col("__any") == 0) & designated)
+    return joined.withColumn("__any", any_match).where(keep).drop(*kcols, "__keys", "__k", "__rk", "__any")

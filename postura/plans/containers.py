@@ -119,6 +119,8 @@ def containers_running_with_findings_list(t: Tables, ctx: Ctx) -> DataFrame:
         pf,
         "scan_id",
         how="left",
+        row_identity=["id"],
+        cluster_by=["id"],
     )
     entry_order = [
         F.col("failed_policy_type").asc_nulls_last(),
