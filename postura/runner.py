@@ -24,6 +24,7 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from postura.functions.vulns import SeverityFn, default_severity
+from postura.session import apply_cluster_defaults
 from postura.plans.catalog import AUDIT_REPORTS, DISABLED_REPORTS, REPORTS, build_report
 from postura.sources.csv_sink import report_path, write_csv
 from postura.sources.tables import JdbcSource, Tables
@@ -82,6 +83,7 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("postura-collect").getOrCreate()
+    apply_cluster_defaults(spark)
     as_of = args.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     keys = args.only or collection_order(args.include_disabled)
     records = collect(spark, _tables(spark, args), args.out, as_of, keys)

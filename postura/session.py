@@ -21,6 +21,33 @@ DEFAULTS = {
 }
 
 
+# Settings for the 100 TB deployment, applied by the runner only where the cluster has not set
+# them. Many initial shuffle partitions, coalesced by AQE towards ~256 MB each, keep every
+# task's share of a shuffle spillable and small; skewed join partitions are split at runtime.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> dict[str, str]:
+    """Set each CLUSTER_DEFAULTS entry the launch configuration does not already name."""
+    launched = spark.sparkContext.getConf()
+    applied = {}
+    for key, value in CLUSTER_DEFAULTS.items():
+        if not launched.contains(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "postura") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -37,7 +64,10 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only when none is set."""
+    """Return the session's checkpoint folder, setting a scratch one only when none is set
+    (local sessions for tests and the bench; on a cluster the shared folder named in
+    ``spark.checkpoint.dir`` is used as is). No report currently needs a lineage cut: each is
+    one DAG whose lost tasks Spark recomputes from shuffle files."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)

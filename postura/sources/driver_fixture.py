@@ -9,8 +9,6 @@ grows with the scale factor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -150,15 +148,6 @@ def _driver_name(template: str) -> str:
     raise KeyError(template)
 
 
-def _ntz(df: DataFrame) -> DataFrame:
-    """Zoned timestamps from ``CAST(... AS TIMESTAMP)`` become wall-clock NTZ values."""
-    cols = [
-        F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
-        for f in df.schema.fields
-    ]
-    return df.select(*cols)
-
-
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -166,7 +155,9 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def posture_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     template = MAPPINGS[name]
     src = _driver_name(template)
-    return _ntz(spark.sql(template, **{src: driver_table(spark, sf_dir, src)}))
+    from postura.sources.tables import wall_clock
+
+    return wall_clock(spark.sql(template, **{src: driver_table(spark, sf_dir, src)}))
 
 
 def duckdb_cte(names: list[str] | tuple[str, ...]) -> str:

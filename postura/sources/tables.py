@@ -18,11 +18,27 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postura.schemas import AUDIT_TABLES, POSTURE_TABLES
 from postura.sources import driver_fixture
 
 
+def wall_clock(df: DataFrame) -> DataFrame:
+    """Zoned timestamp columns become wall-clock TIMESTAMP_NTZ (in the session zone, UTC in
+    the shipped session settings), so every report compares like with like and its result
+    does not change with the session zone. A projection only: no extra pass over the data."""
+    if not any(isinstance(f.dataType, T.TimestampType) for f in df.schema.fields):
+        return df
+    return df.select(
+        *[
+            F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
 class Tables:
     def __init__(self, factories: Mapping[str, Callable[[], DataFrame]]):
         self._factories = dict(factories)
@@ -60,7 +76,7 @@ class Tables:
         suffix: str = "",
     ) -> Tables:
         base = root.rstrip("/")
-        return cls({n: (lambda n=n: spark.read.format(fmt).load(f"{base}/{n}{suffix}")) for n in names})
+        return cls({n: (lambda n=n: wall_clock(spark.read.format(fmt).load(f"{base}/{n}{suffix}"))) for n in names})
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> Tables:
@@ -80,7 +96,7 @@ class Tables:
         ``operational``. A missing audit source falls back to the operational one."""
         audit_src = audit or operational
         return cls(
-            {n: (lambda n=n: (audit_src if n in AUDIT_TABLES else operational).read(spark, n)) for n in names}
+            {n: (lambda n=n: wall_clock((audit_src if n in AUDIT_TABLES else operational).read(spark, n))) for n in names}
         )
 
 
@@ -110,6 +126,7 @@ class JdbcSource:
             "dbtable": f"{self.schema}.{table}" if self.schema else table,
             "driver": self.driver,
             "fetchsize": str(self.fetch_size),
+            "preferTimestampNTZ": "true",
         }
         if self.user is not None:
             opts["user"] = self.user

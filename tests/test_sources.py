@@ -34,7 +34,7 @@ def test_schema_qualified_names_resolve(driver_tables):
         driver_tables["nope"]
 
 
-def test_jdbc_options_and_audit_routing():
+def test_jdbc_options_and_audit_routing(spark):
     op = JdbcSource(
         url="jdbc:postgresql://db:5432/operations",
         user="u",
@@ -51,12 +51,13 @@ def test_jdbc_options_and_audit_routing():
     class Probe(JdbcSource):
         def read(self, spark, table):
             calls.append((self.url, table))
-            return None
+            return spark.range(1)
 
-    t = Tables.from_jdbc(None, Probe(url=op.url), Probe(url=audit.url))
+    assert opts["preferTimestampNTZ"] == "true"
+    t = Tables.from_jdbc(spark, Probe(url=op.url), Probe(url=audit.url))
     t["audit"], t["scans"]
     assert calls == [(audit.url, "audit"), (op.url, "scans")]
-    t2 = Tables.from_jdbc(None, Probe(url=op.url))
+    t2 = Tables.from_jdbc(spark, Probe(url=op.url))
     t2["audit"]
     assert calls[-1] == (op.url, "audit")
     assert set(AUDIT_TABLES) == {"audit"}
@@ -96,3 +97,12 @@ def test_parquet_source_round_trip(spark, driver_tables, tmp_path):
     a = sorted(tuple(r) for r in build_report("image_repo_scans", t, spark).collect())
     b = sorted(tuple(r) for r in build_report("image_repo_scans", driver_tables, spark).collect())
     assert a == b
+
+
+def test_zoned_timestamps_become_wall_clock(spark):
+    from postura.sources.tables import wall_clock
+
+    df = spark.sql("SELECT TIMESTAMP'2001-07-15 12:00:00' AS t, 1 AS n")
+    out = wall_clock(df)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["timestamp_ntz", "int"]
+    assert wall_clock(out) is out
