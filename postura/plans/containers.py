@@ -93,15 +93,17 @@ def container_vuln_list(t: Tables, ctx: Ctx) -> DataFrame:
 
 def container_ns_vuln_summary(t: Tables, ctx: Ctx) -> DataFrame:
     cv = _container_vulns(t)
-    avgs = [
-        avg_int(F.sum(c), F.count(c)).alias(f"avg_{c}")
-        for c in ("crit_vulns", "high_vulns", "med_vulns", "low_vulns", "neg_vulns", "total_vulns")
-    ]
-    return cv.groupBy(F.col("level2").alias("namespace"), F.col("level3").alias("controller")).agg(
+    cols = ("crit_vulns", "high_vulns", "med_vulns", "low_vulns", "neg_vulns", "total_vulns")
+    sums = [F.sum(c).alias(f"s_{c}") for c in cols] + [F.count(c).alias(f"n_{c}") for c in cols]
+    agg = cv.groupBy(F.col("level2").alias("namespace"), F.col("level3").alias("controller")).agg(
         F.count_distinct("level1").alias("cluster_count"),
         F.count_distinct("id").alias("container_count"),
         F.count_distinct("docker_id").alias("image_count"),
-        *avgs,
+        *sums,
+    )
+    return agg.select(
+        "namespace", "controller", "cluster_count", "container_count", "image_count",
+        *[avg_int(f"s_{c}", f"n_{c}").alias(f"avg_{c}") for c in cols],
     )
 
 

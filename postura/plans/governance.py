@@ -27,7 +27,7 @@ def license_stats(t: Tables, ctx: Ctx) -> DataFrame:
         ("metric", "used"),
         keep=[F.col("licensed_enforcers").cast("bigint").alias("licesned")],
     )
-    return rows.select("metric", "used", "licesned", pct_label(F.col("used"), F.col("licesned")).alias("utilization"))
+    return rows.select("metric", "used", "licesned", pct_label("used", "licesned").alias("utilization"))
 
 
 def policy_runtime_enabled(t: Tables, ctx: Ctx) -> DataFrame:

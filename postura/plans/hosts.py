@@ -68,15 +68,14 @@ def _assurance_summary(t: Tables, scan_type: str, subject: str) -> DataFrame:
 
 def host_assurance_summary(t: Tables, ctx: Ctx) -> DataFrame:
     rows = _assurance_summary(t, "host", "host_id")
-    scanned = F.count_distinct("host_id")
-    passed = F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("host_id")))
     return (
         rows.groupBy("control")
         .agg(
-            scanned.alias("hosts_scanned"),
+            F.count_distinct("host_id").alias("hosts_scanned"),
             F.count_distinct(F.when(F.col("failed") == F.lit(True), F.col("host_id"))).alias("hosts_failed"),
-            pct_label(passed, scanned).alias("pass_rate"),
+            F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("host_id"))).alias("hosts_passed"),
         )
+        .select("control", "hosts_scanned", "hosts_failed", pct_label("hosts_passed", "hosts_scanned").alias("pass_rate"))
         .orderBy(F.col("hosts_scanned").desc())
     )
 
@@ -102,8 +101,12 @@ def host_findings_region(t: Tables, ctx: Ctx) -> DataFrame:
     )
 
 
+def _tag_sums() -> list:
+    return [F.sum(f"s_{c}").alias(f"t_{c}") for c in _AVG_NAMES] + [F.sum(f"n_{c}").alias(f"m_{c}") for c in _AVG_NAMES]
+
+
 def _tag_averages() -> list:
-    return [avg_int(F.sum(f"s_{c}"), F.sum(f"n_{c}")).alias(name) for c, name in _AVG_NAMES.items()]
+    return [avg_int(f"t_{c}", f"m_{c}").alias(name) for c, name in _AVG_NAMES.items()]
 
 
 def host_vulnerabilities_by_cloud_tag(t: Tables, ctx: Ctx) -> DataFrame:
@@ -114,8 +117,9 @@ def host_vulnerabilities_by_cloud_tag(t: Tables, ctx: Ctx) -> DataFrame:
     return (
         tags.join(per_host, "host_id")
         .groupBy("tag_name", "tag_value")
-        .agg(F.count_distinct("host_id").alias("num_hosts"), *_tag_averages())
+        .agg(F.count_distinct("host_id").alias("num_hosts"), *_tag_sums())
         .where(F.col("num_hosts") > 1)
+        .select("tag_name", "tag_value", "num_hosts", *_tag_averages())
         .orderBy(F.col("num_hosts").desc(), F.col("tag_name").asc_nulls_last(), F.col("tag_value").asc_nulls_last())
     )
 
@@ -127,7 +131,8 @@ def host_vulnerabilities_by_region(t: Tables, ctx: Ctx) -> DataFrame:
     return (
         hc.join(per_host, "host_id")
         .groupBy("cloud", "region")
-        .agg(F.count_distinct("host_id").alias("num_hosts"), *_tag_averages())
+        .agg(F.count_distinct("host_id").alias("num_hosts"), *_tag_sums())
+        .select("cloud", "region", "num_hosts", *_tag_averages())
         .orderBy(F.col("num_hosts").desc(), F.col("cloud").asc_nulls_last(), F.col("region").asc_nulls_last())
     )
 
@@ -238,7 +243,7 @@ def host_bench_results_details(t: Tables, ctx: Ctx) -> DataFrame:
 
     def pct(prefix: str, m: str, valid):
         # round(m / tests, 2) * 100, exact: hundredths of the ratio, half away from zero
-        v = round_ratio(F.col(f"{prefix}_{m}"), F.col(f"{prefix}_tests"), scale=100).cast("double")
+        v = round_ratio(f"{prefix}_{m}", f"{prefix}_tests", scale=100).cast("double")
         return (F.when(valid, v) if valid is not None else v).alias(f"{_LEVEL[prefix]}_{m}_pct")
 
     cat_ok = F.col("category").isNotNull()

@@ -16,15 +16,18 @@ from postura.sources.tables import Tables
 
 def image_assurance_control_summary(t: Tables, ctx: Ctx) -> DataFrame:
     rows = _assurance_summary(t, "image", "image_id")
-    checked = F.count_distinct("image_id")
-    passed = F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("image_id")))
-    failed = F.count_distinct(F.when(F.col("failed") == F.lit(True), F.col("image_id")))
     return (
         rows.groupBy("control")
         .agg(
-            checked.alias("images_checked"),
-            pct_label(passed, checked).alias("pass_rate"),
-            pct_label(failed, checked).alias("fail_rate"),
+            F.count_distinct("image_id").alias("images_checked"),
+            F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("image_id"))).alias("passed"),
+            F.count_distinct(F.when(F.col("failed") == F.lit(True), F.col("image_id"))).alias("failed"),
+        )
+        .select(
+            "control",
+            "images_checked",
+            pct_label("passed", "images_checked").alias("pass_rate"),
+            pct_label("failed", "images_checked").alias("fail_rate"),
         )
         .orderBy(F.col("images_checked").desc())
     )
@@ -105,20 +108,25 @@ def image_ia_repo_results(t: Tables, ctx: Ctx) -> DataFrame:
     sc = t["scans"].where(F.col("type") == "image").select(F.col("id").alias("scan_id"), "image_id")
     sar = t["scan_assurance_results"].select("scan_id", "control", "failed")
     rows = sc.join(_image_scans(t), "image_id").join(sar, "scan_id")
-    controls = F.count_distinct("control")
-    passed = F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("control")))
-    failed = F.count_distinct(F.when(F.col("failed") == F.lit(True), F.col("control")))
     agg = rows.groupBy(F.col("repo_name").alias("repository_name")).agg(
         F.count_distinct("image_id").alias("num_of_images"),
-        controls.alias("controls_checked"),
-        pct_label(passed, controls).alias("pass_rate"),
-        pct_label(failed, controls).alias("fail_rate"),
-        (failed.cast("double") / controls).alias("fail_ratio"),
+        F.count_distinct("control").alias("controls_checked"),
+        F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("control"))).alias("passed"),
+        F.count_distinct(F.when(F.col("failed") == F.lit(True), F.col("control"))).alias("failed"),
     )
     return (
-        agg.orderBy(F.col("fail_ratio").desc_nulls_first(), F.col("repository_name").asc_nulls_last())
+        agg.orderBy(
+            (F.col("failed").cast("double") / F.col("controls_checked")).desc_nulls_first(),
+            F.col("repository_name").asc_nulls_last(),
+        )
         .limit(10)
-        .drop("fail_ratio")
+        .select(
+            "repository_name",
+            "num_of_images",
+            "controls_checked",
+            pct_label("passed", "controls_checked").alias("pass_rate"),
+            pct_label("failed", "controls_checked").alias("fail_rate"),
+        )
     )
 
 
@@ -144,7 +152,7 @@ def image_inventory_stats(t: Tables, ctx: Ctx) -> DataFrame:
             ("Number of repositories", txt("repositories")),
             ("Number of images", txt("images")),
             ("Number of images in running containers", txt("images_in_containers")),
-            ("% of images scanned and running", pct_label(F.col("images_in_containers"), F.col("images"), "fm990D00%")),
+            ("% of images scanned and running", pct_label("images_in_containers", "images", "fm990D00%")),
         ],
         ("metric", "value"),
     )
@@ -165,44 +173,46 @@ def image_repo_scans(t: Tables, ctx: Ctx) -> DataFrame:
     )
 
 
+_SHARE_NAMES = ("critical", "high", "medium", "low", "negligible")
+
+
 def image_repo_vuln_severity_distribution(t: Tables, ctx: Ctx) -> DataFrame:
     """Top 10 repositories by total vulnerabilities with the share of each severity
     (denominator total + 0.1, evaluated exactly as (10 x part) / (10 x total + 1))."""
     rows = image_vuln_distribution_rows(t, with_repo=True)
-    total = F.sum("total_vulns")
-    share = lambda c: pct_label(F.sum(c) * 10, total * 10 + 1)
     agg = rows.groupBy("repo_name").agg(
         F.count("image_name").alias("num_images"),
-        total.cast("int").alias("total_vulns"),
-        share("crit_vulns").alias("critical"),
-        share("high_vulns").alias("high"),
-        share("med_vulns").alias("medium"),
-        share("low_vulns").alias("low"),
-        share("neg_vulns").alias("negligible"),
+        F.sum("total_vulns").alias("s_total"),
+        *[(F.sum(c) * 10).alias(f"x_{c}") for c in SEVERITY_COLUMNS],
+    )
+    top = (
+        agg.withColumn("total_vulns", F.col("s_total").cast("int"))
+        .orderBy(F.col("total_vulns").desc_nulls_first(), F.col("repo_name").asc_nulls_last())
+        .limit(10)
+    )
+    return top.withColumn("den", F.col("s_total") * 10 + 1).select(
+        "repo_name",
+        "num_images",
+        "total_vulns",
+        *[pct_label(f"x_{c}", "den").alias(label) for c, label in zip(SEVERITY_COLUMNS, _SHARE_NAMES)],
     )
-    return agg.orderBy(F.col("total_vulns").desc_nulls_first(), F.col("repo_name").asc_nulls_last()).limit(10)
 
 
 def image_vulns_distribution(t: Tables, ctx: Ctx) -> DataFrame:
     """Severity shares for images used by containers vs. other scanned images."""
     rows = image_vuln_distribution_rows(t, with_repo=False)
-    total = F.sum("total_vulns")
-    share = lambda c: pct_label(F.sum(c), total, "99D00%")
     label = (
         F.when(F.col("containers_exist") == 1, F.lit("In running containers"))
         .when(F.col("containers_exist") == 0, F.lit("In other scanned images"))
     )
     return (
         rows.groupBy("containers_exist")
-        .agg(
-            share("crit_vulns").alias("critical"),
-            share("high_vulns").alias("high"),
-            share("med_vulns").alias("medium"),
-            share("low_vulns").alias("low"),
-            share("neg_vulns").alias("negligible"),
-        )
+        .agg(F.sum("total_vulns").alias("s_total"), *[F.sum(c).alias(f"s_{c}") for c in SEVERITY_COLUMNS])
         .orderBy(F.col("containers_exist").desc())
-        .select(label.alias("images"), "critical", "high", "medium", "low", "negligible")
+        .select(
+            label.alias("images"),
+            *[pct_label(f"s_{c}", "s_total", "99D00%").alias(n) for c, n in zip(SEVERITY_COLUMNS, _SHARE_NAMES)],
+        )
     )
 
 
@@ -369,6 +379,7 @@ def image_vuln_fix_age_summary(t: Tables, ctx: Ctx) -> DataFrame:
     rv = _repo_vulns(t, ctx, detail=False)
     return (
         rv.groupBy("registry", "repo_name", "fixed")
-        .agg(avg_int(F.sum("age_in_days"), F.count("age_in_days")).alias("avg_age_in_days"))
+        .agg(F.sum("age_in_days").alias("s_age"), F.count("age_in_days").alias("n_age"))
+        .select("registry", "repo_name", "fixed", avg_int("s_age", "n_age").alias("avg_age_in_days"))
         .orderBy(F.col("avg_age_in_days").desc_nulls_first())
     )
