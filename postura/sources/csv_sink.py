@@ -17,6 +17,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("header", True)
         .option("nullValue", "")
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)  # keep the padding of labels such as '  40.00%'
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )

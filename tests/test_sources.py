@@ -64,7 +64,7 @@ def test_jdbc_options_and_audit_routing(spark):
 
 
 def test_csv_sink_writes_header_and_empty_nulls(spark, tmp_path):
-    df = spark.createDataFrame([("a", None, 1), ("", "x", None)], "k string, v string, n long")
+    df = spark.createDataFrame([("a", None, 1), ("", "  40.00%", None)], "k string, v string, n long")
     out = str(tmp_path / "r_results")
     write_csv(df, out)
     lines = []
@@ -74,7 +74,7 @@ def test_csv_sink_writes_header_and_empty_nulls(spark, tmp_path):
     header = lines[0]
     body = [l for l in lines if l != header]
     assert header == ["k", "v", "n"]
-    assert sorted(body) == sorted([["a", "", "1"], ["", "x", ""]])
+    assert sorted(body) == sorted([["a", "", "1"], ["", "  40.00%", ""]])
 
 
 def test_collect_runs_operational_then_audit_and_records_failures(spark, driver_tables, tmp_path):
@@ -106,3 +106,11 @@ def test_zoned_timestamps_become_wall_clock(spark):
     out = wall_clock(df)
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["timestamp_ntz", "int"]
     assert wall_clock(out) is out
+
+
+def test_collect_concurrently_keeps_order_and_outputs(spark, driver_tables, tmp_path):
+    keys = ["image_repo_scans", "license_stats", "audit_malware_list", "image_growth_metrics"]
+    recs = collect(spark, driver_tables, str(tmp_path), "2001-07-15 12:00:00", keys, concurrency=3)
+    assert [r["query_name"] for r in recs] == keys and all(r["status"] == "Success" for r in recs)
+    for k in keys:
+        assert glob.glob(str(tmp_path / f"{k}_results" / "part-*.csv")), k
