@@ -9,17 +9,33 @@ empty field, as the source tool's ``csv.writer`` does.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _timestamp_text(name: str):
+    """'yyyy-MM-dd HH:mm:ss', with '.SSSSSS' only when the fraction is not zero."""
+    c = F.col(name)
+    whole = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    ).alias(name)
+
+
+def csv_ready(df: DataFrame) -> DataFrame:
+    ts = (T.TimestampType, T.TimestampNTZType)
+    return df.select(*[_timestamp_text(f.name) if isinstance(f.dataType, ts) else F.col(f.name) for f in df.schema.fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (
-        df.write.mode(mode)
+        csv_ready(df)
+        .write.mode(mode)
         .option("header", True)
         .option("nullValue", "")
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)  # keep the padding of labels such as '  40.00%'
         .option("ignoreTrailingWhiteSpace", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )
 

@@ -114,3 +114,13 @@ def test_collect_concurrently_keeps_order_and_outputs(spark, driver_tables, tmp_
     assert [r["query_name"] for r in recs] == keys and all(r["status"] == "Success" for r in recs)
     for k in keys:
         assert glob.glob(str(tmp_path / f"{k}_results" / "part-*.csv")), k
+
+
+def test_csv_sink_timestamps_like_python_str(spark, tmp_path):
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2001-07-15 12:00:00' AS a, TIMESTAMP_NTZ'2001-07-15 12:00:00.25' AS b, DATE'2001-07-15' AS d"
+    )
+    write_csv(df, str(tmp_path / "t"))
+    (part,) = glob.glob(str(tmp_path / "t" / "part-*.csv"))
+    rows = list(csv.reader(open(part, newline="")))
+    assert rows == [["a", "b", "d"], ["2001-07-15 12:00:00", "2001-07-15 12:00:00.250000", "2001-07-15"]]
