@@ -22,9 +22,24 @@ def _timestamp_text(name: str):
     ).alias(name)
 
 
+def _bool_text(name: str):
+    c = F.col(name)
+    return F.when(c, F.lit("True")).when(~c, F.lit("False")).alias(name)
+
+
 def csv_ready(df: DataFrame) -> DataFrame:
+    """Text forms of a Python CSV writer: timestamps as ``str(datetime)``, booleans as
+    ``True``/``False``."""
     ts = (T.TimestampType, T.TimestampNTZType)
-    return df.select(*[_timestamp_text(f.name) if isinstance(f.dataType, ts) else F.col(f.name) for f in df.schema.fields])
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, ts):
+            cols.append(_timestamp_text(f.name))
+        elif isinstance(f.dataType, T.BooleanType):
+            cols.append(_bool_text(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

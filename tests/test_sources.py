@@ -118,9 +118,13 @@ def test_collect_concurrently_keeps_order_and_outputs(spark, driver_tables, tmp_
 
 def test_csv_sink_timestamps_like_python_str(spark, tmp_path):
     df = spark.sql(
-        "SELECT TIMESTAMP_NTZ'2001-07-15 12:00:00' AS a, TIMESTAMP_NTZ'2001-07-15 12:00:00.25' AS b, DATE'2001-07-15' AS d"
+        "SELECT TIMESTAMP_NTZ'2001-07-15 12:00:00' AS a, TIMESTAMP_NTZ'2001-07-15 12:00:00.25' AS b, DATE'2001-07-15' AS d, "
+        "true AS t, false AS f, CAST(NULL AS BOOLEAN) AS n"
     )
     write_csv(df, str(tmp_path / "t"))
     (part,) = glob.glob(str(tmp_path / "t" / "part-*.csv"))
     rows = list(csv.reader(open(part, newline="")))
-    assert rows == [["a", "b", "d"], ["2001-07-15 12:00:00", "2001-07-15 12:00:00.250000", "2001-07-15"]]
+    assert rows == [
+        ["a", "b", "d", "t", "f", "n"],
+        ["2001-07-15 12:00:00", "2001-07-15 12:00:00.250000", "2001-07-15", "True", "False", ""],
+    ]
