@@ -150,7 +150,7 @@ def host_vulnerability_scan_details(t: Tables, ctx: Ctx) -> DataFrame:
 
     Join order: vulnerability dimension first (vulnerabilities with their resource), host
     scans with their host, then the scan/resource bridge against both, so the largest
-    table meets already-filtered sides.
+    table meets already-filtered sides, once per key.
     """
     krv = t["known_resource_vulnerabilities"].where(F.col("issue_type") == "vulnerability")
     kr = t["known_resources"].select(
@@ -176,7 +176,10 @@ def host_vulnerability_scan_details(t: Tables, ctx: Ctx) -> DataFrame:
         .join(hosts, "host_id")
     )
     sr = t["scan_resources"].select("scan_id", "resource_id")
-    rows = sr.join(host_scans, "scan_id").join(kr, "resource_id").join(vulns, "resource_id")
+    # resource and vulnerability dimensions are joined first, so the bridge meets one
+    # resource-keyed side (one skew-splittable join instead of two chained on the same key)
+    vuln_dim = vulns.join(kr, "resource_id")
+    rows = sr.join(host_scans, "scan_id").join(vuln_dim, "resource_id")
     return rows.select(
         "scan_date",
         F.col("host_id").cast("string").alias("host_id"),

@@ -31,6 +31,8 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # split a hot join partition even when that costs an extra shuffle downstream
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
