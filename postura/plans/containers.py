@@ -26,32 +26,33 @@ def container_assurance_summary(t: Tables, ctx: Ctx) -> DataFrame:
     id of any scan of its image, or the container id. The image route depends on the image
     only, so it is resolved per image first and then joined to the containers; every
     aggregate is a distinct count, so the union of the routes gives the answer directly.
+    Both routes join the same failure relation on the same key column, so Spark shuffles the
+    failures (built from the largest fact table) once and reuses that exchange.
     """
     pf = (
         policy_failures(t)
         .where(F.col("failed_control").isNotNull())
-        .select("scan_id", "failed_control", "failed_policy_type")
+        .select(F.col("scan_id").alias("key"), "failed_control", "failed_policy_type")
     )
     running = _running(t).select(*_ATTRS, "scan_id", "oci_image_id")
 
-    own = any_key_join(running, [F.col("scan_id"), F.col("id")], pf, "scan_id", how="inner").select(
-        *_ATTRS, "failed_policy_type", "failed_control"
-    )
+    own_keys = F.array_distinct(F.array_compact(F.array(F.col("scan_id").cast("string"), F.col("id").cast("string"))))
+    own = running.select(*_ATTRS, F.explode(own_keys).alias("key")).join(pf, "key")
 
     im = t["image_metadata"].select("image_id", "docker_id")
     sc = t["scans"].where(F.col("image_id").isNotNull()).select("image_id", F.col("id").cast("string").alias("key"))
     per_image = (
         im.join(sc, "image_id")
-        .join(pf, F.col("key") == pf["scan_id"])
+        .join(pf, "key")
         .select("docker_id", "failed_policy_type", "failed_control")
         .distinct()
     )
-    via_image = running.join(per_image, running["oci_image_id"] == per_image["docker_id"]).select(
-        *_ATTRS, "failed_policy_type", "failed_control"
-    )
+    via_image = running.join(per_image, running["oci_image_id"] == per_image["docker_id"])
 
+    cols = [*_ATTRS, "failed_policy_type", "failed_control"]
     return (
-        own.unionByName(via_image)
+        own.select(*cols)
+        .unionByName(via_image.select(*cols))
         .groupBy(F.col("failed_policy_type").alias("failed_control_type"), "failed_control")
         .agg(
             F.count_distinct("id").alias("container_count"),
