@@ -23,9 +23,11 @@ def as_of_date(as_of: _dt.datetime | str) -> Column:
 
 
 def epoch_to_ts(col: str | Column) -> Column:
-    """``to_timestamp(epoch_seconds)`` as a UTC wall-clock TIMESTAMP_NTZ."""
+    """``to_timestamp(epoch_seconds)`` as a UTC wall-clock TIMESTAMP_NTZ; fractional seconds
+    are kept to the microsecond."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_add("SECOND", c.cast("bigint"), F.lit(EPOCH).cast("timestamp_ntz"))
+    micros = F.round(c.cast("decimal(20,6)") * 1000000).cast("bigint")
+    return F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH).cast("timestamp_ntz"))
 
 
 def month_label(col: str | Column) -> Column:

@@ -91,3 +91,9 @@ def test_month_formats(spark):
     df = spark.createDataFrame([("2001-07-15 12:00:00",)], "s string").select(F.col("s").cast("timestamp_ntz").alias("t"))
     row = df.select(month_label("t").alias("l"), month_key("t").alias("k")).first()
     assert (row.l, row.k) == ("Jul 01", "0701")
+
+
+def test_epoch_to_ts_keeps_fractions(spark):
+    df = spark.createDataFrame([(990000000.25,), (-1.5,)], "e double")
+    got = [r.t for r in df.select(epoch_to_ts("e").alias("t")).collect()]
+    assert got == [dt.datetime(2001, 5, 16, 8, 0, 0, 250000), dt.datetime(1969, 12, 31, 23, 59, 58, 500000)]
