@@ -102,7 +102,11 @@ def main(argv: list[str] | None = None) -> int:
     apply_cluster_defaults(spark)
     as_of = args.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     keys = args.only or collection_order(args.include_disabled)
-    records = collect(spark, _tables(spark, args), args.out, as_of, keys, concurrency=args.concurrency)
+    tables = _tables(spark, args)
+    missing = tables.missing_columns()
+    if missing:
+        print(json.dumps({"missing_columns": missing}, indent=2), file=sys.stderr)
+    records = collect(spark, tables, args.out, as_of, keys, concurrency=args.concurrency)
     print(json.dumps({"collection_timestamp": as_of, "collection_data": records}, indent=2))
     return 0 if all(r["status"] == "Success" for r in records) else 1
 

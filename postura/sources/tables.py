@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postura.schemas import AUDIT_TABLES, POSTURE_TABLES
+from postura.schemas import AUDIT_TABLES, COLUMNS, POSTURE_TABLES
 from postura.sources import driver_fixture
 
 
@@ -62,6 +62,17 @@ class Tables:
     def names(self) -> list[str]:
         return sorted(self._factories)
 
+    def missing_columns(self, required: Mapping[str, Iterable[str]] = COLUMNS) -> dict[str, list[str]]:
+        """Columns the reports read that a registered table lacks (schema only, no job)."""
+        out = {}
+        for name, cols in required.items():
+            if name in self:
+                have = {c.lower() for c in self[name].columns}
+                lacking = [c for c in cols if c.lower() not in have]
+                if lacking:
+                    out[name] = lacking
+        return out
+
     @classmethod
     def from_frames(cls, frames: Mapping[str, DataFrame]) -> Tables:
         return cls({k: (lambda df=df: df) for k, df in frames.items()})

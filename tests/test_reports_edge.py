@@ -173,3 +173,32 @@ def test_image_count_over_time_month_end_against_brute_force(spark, driver_table
         for s in spine
     ]
     assert got == expected
+
+
+def test_fix_age_same_date_with_only_one_newer_image(spark, driver_tables):
+    """First and last on one date and a single newer image: OFFSET 1 finds nothing, so the
+    newest image stands in as "next"."""
+    frames = edge_frames(spark, driver_tables)
+    D = dt.datetime
+    rr = spark.createDataFrame([(7, "repoD", "reg-9")], frames["registry_repositories"].schema)
+    ri = spark.createDataFrame(
+        [(701, "d:1", 7, "reg-9", D(2000, 1, 1)), (702, "d:2", 7, "reg-9", D(2000, 1, 1, 5)), (703, "d:3", 7, "reg-9", D(2000, 1, 21))],
+        frames["registry_images"].schema,
+    )
+    im = spark.createDataFrame([(701, "x701"), (702, "x702"), (703, "x703")], frames["image_metadata"].schema)
+    sc = frames["scans"].limit(0).unionByName(
+        spark.createDataFrame(
+            [(71, "image", 701, None, D(2001, 1, 1), 0, 0, 0, 0, 0, 0, 0), (72, "image", 702, None, D(2001, 1, 1), 0, 0, 0, 0, 0, 0, 0)],
+            frames["scans"].schema,
+        )
+    )
+    sr = spark.createDataFrame([(71, 1), (72, 1)], frames["scan_resources"].schema)
+    t = Tables.from_frames(
+        {**frames, "registry_repositories": rr, "registry_images": ri, "image_metadata": im, "scans": sc, "scan_resources": sr}
+    )
+    got = {r.vuln_name: r for r in run(spark, t, "vuln_fix_age_detail")}
+    assert sorted(got) == ["CVE-1", "CVE-2"]
+    r = got["CVE-1"]
+    assert (r.first_found_image, r.age_in_days, r.fixed, r.fixed_in_image, r.fix_image_date) == (
+        "d:1", 20, True, "d:3", dt.date(2000, 1, 21)
+    )

@@ -128,3 +128,9 @@ def test_csv_sink_timestamps_like_python_str(spark, tmp_path):
         ["a", "b", "d", "t", "f", "n"],
         ["2001-07-15 12:00:00", "2001-07-15 12:00:00.250000", "2001-07-15", "True", "False", ""],
     ]
+
+
+def test_missing_columns_reported_from_schema(spark, driver_tables):
+    assert driver_tables.missing_columns() == {}
+    t = Tables.from_frames({"hosts": spark.createDataFrame([("h1", "agent")], "id string, type string")})
+    assert t.missing_columns() == {"hosts": ["logicalname", "status"]}
