@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postura.functions import epoch_to_ts, json_array_text, json_text, total_vulns
 from postura.functions.vulns import SEVERITY_COLUMNS
-from postura.operators import first_per_key, labelled_rows
+from postura.operators import first_per_key, labelled_rows, splittable_side
 from postura.sources.tables import Tables
 
 
@@ -127,7 +127,8 @@ def image_vuln_distribution_rows(t: Tables, with_repo: bool) -> DataFrame:
         rr = t["registry_repositories"].select(F.col("id").alias("repository_id"), F.col("name").alias("repo_name"))
         rows = rows.join(rr, "repository_id")
         cols.append("repo_name")
-    rows = rows.join(sc, "image_id")
+    # a hot image on the scan side stays splittable
+    rows = splittable_side(rows).join(sc, "image_id")
     return rows.select(*cols, "containers_exist", *SEVERITY_COLUMNS, total_vulns().alias("total_vulns")).distinct()
 
 

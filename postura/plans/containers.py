@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postura.functions import as_of_literal, avg_int, epoch_to_ts
 from postura.functions.vulns import SEVERITY_COLUMNS
-from postura.operators import any_key_join
+from postura.operators import any_key_join, splittable_side
 from postura.plans.blocks import host_risk, image_risk, latest_image_vuln_summary, policy_failures
 from postura.plans.context import Ctx
 from postura.sources.tables import Tables
@@ -66,7 +66,7 @@ def container_assurance_summary(t: Tables, ctx: Ctx) -> DataFrame:
 
 def _container_vulns(t: Tables) -> DataFrame:
     """One row per running container joined with the latest image scan of its image."""
-    best = latest_image_vuln_summary(t)
+    best = splittable_side(latest_image_vuln_summary(t))
     running = _running(t).select(
         "id", "name", "level1", "level2", "level3", "level3_type", "level4", "create_time", "oci_image_id"
     )
@@ -112,8 +112,9 @@ def containers_running_with_findings_list(t: Tables, ctx: Ctx) -> DataFrame:
     """Every running container with its latest image scan, latest host scan and each failed
     control that matches any of its four keys (one row with empty failure columns when none)."""
     c = _running(t)
-    ir = image_risk(t)
-    hr = host_risk(t)
+    # one row per image / host; re-shuffled so a hot image or host of the containers can be split
+    ir = splittable_side(image_risk(t))
+    hr = splittable_side(host_risk(t))
     base = c.join(ir, c["oci_image_id"] == ir["docker_id"], "left").join(hr, c["hostid"] == hr["host_id"], "left")
     pf = policy_failures(t)
     keyed = any_key_join(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postura.functions import avg_int, json_text, month_key, pct_label, round_ratio, vuln_score, vuln_severity
 from postura.functions.vulns import SEVERITY_COLUMNS
-from postura.operators import month_spine
+from postura.operators import month_spine, splittable_side
 from postura.plans.blocks import bench_results, first_scans, host_cloud, host_tags, scan_totals_per_host
 from postura.plans.context import Ctx
 from postura.sources.tables import Tables
@@ -178,7 +178,7 @@ def host_vulnerability_scan_details(t: Tables, ctx: Ctx) -> DataFrame:
     sr = t["scan_resources"].select("scan_id", "resource_id")
     # resource and vulnerability dimensions are joined first, so the bridge meets one
     # resource-keyed side (one skew-splittable join instead of two chained on the same key)
-    vuln_dim = vulns.join(kr, "resource_id")
+    vuln_dim = splittable_side(vulns.join(kr, "resource_id"))
     rows = sr.join(host_scans, "scan_id").join(vuln_dim, "resource_id")
     return rows.select(
         "scan_date",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postura.functions import as_of_date, as_of_literal, avg_int, pct_label, vuln_score, vuln_severity
 from postura.functions.vulns import SEVERITY_COLUMNS
-from postura.operators import labelled_rows, month_spine, top_per_key
+from postura.operators import labelled_rows, month_spine, splittable_side, top_per_key
 from postura.plans.blocks import image_vuln_distribution_rows
 from postura.plans.context import Ctx
 from postura.plans.hosts import _assurance_summary
@@ -242,7 +242,8 @@ def _repo_vuln_facts(t: Tables, dim: DataFrame) -> DataFrame:
     sc = t["scans"].where(F.col("type") == "image").select(F.col("id").alias("scan_id"), "image_id")
     sr = t["scan_resources"].select("scan_id", "resource_id")
     per_resource = (
-        dim.join(sc, "image_id")
+        splittable_side(dim)
+        .join(sc, "image_id")
         .join(sr, "scan_id")
         .groupBy("repo_id", "resource_id")
         .agg(F.min("create_date").alias("lo"), F.max("create_date").alias("hi"))
