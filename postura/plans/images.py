@@ -312,12 +312,13 @@ def _repo_vulns(t: Tables, ctx: Ctx, detail: bool) -> DataFrame:
     rr = t["registry_repositories"].select(
         F.col("id").alias("repo_id"), F.col("registry_id").alias("registry"), F.col("name").alias("repo_name")
     )
+    # one row per repository: newest image, second-newest dated image, registry and name
+    per_repo = top.join(second, "repo_id", "left").join(rr, "repo_id")
+    # each small side is rebalanced so a repository holding a third of the facts stays splittable
     j = (
-        facts.join(first, ["repo_id", "min_date"])
-        .join(last, ["repo_id", "max_date"])
-        .join(top, "repo_id")
-        .join(second, "repo_id", "left")
-        .join(rr, "repo_id")
+        facts.join(splittable_side(first), ["repo_id", "min_date"])
+        .join(splittable_side(last), ["repo_id", "max_date"])
+        .join(splittable_side(per_repo), "repo_id")
     )
     use_second = F.col("second_date") > F.col("min_date")
     next_id = F.when(use_second, F.col("second_id")).otherwise(F.col("top_id"))
