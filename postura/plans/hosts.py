@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postura.functions import avg_int, json_text, month_key, pct_label, round_ratio, vuln_score, vuln_severity
+from postura.functions import avg_int, month_key, pct_label, round_ratio, vuln_score, vuln_severity
 from postura.functions.vulns import SEVERITY_COLUMNS
 from postura.operators import month_spine, splittable_side
 from postura.plans.blocks import bench_results, first_scans, host_cloud, host_tags, scan_totals_per_host
