@@ -12,8 +12,8 @@ from postura.sources.tables import Tables
 
 
 def scan_order(date_col: str = "scan_date", id_col: str = "id") -> list[Column]:
-    """"Latest scan first": DESC puts NULL dates first (the source database's rule), then the
-    highest scan id, so ties resolve the same way on every run."""
+    """Order for "latest scan first": DESC puts NULL dates first (the source database's rule),
+    then the highest scan id, so ties resolve the same way on every run."""
     return [F.col(date_col).desc_nulls_first(), F.col(id_col).desc_nulls_last()]
 
 

@@ -61,10 +61,10 @@ def collect(
     keys = list(keys or collection_order())
     if concurrency <= 1:
         return [one(k) for k in keys]
-    for k in keys:  # build the shared input tables once, before the threads use them
+    for name in tables.names():  # create the shared (lazy) table DataFrames before the threads use them
         try:
-            build_report(k, tables, spark, as_of=as_of, severity_fn=severity_fn)
-        except Exception:  # noqa: BLE001 - reported by one() below
+            tables[name]
+        except Exception:  # noqa: BLE001 - a report reading this table records the error
             pass
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         return list(pool.map(one, keys))
