@@ -45,8 +45,8 @@ def policy_failures(t: Tables) -> DataFrame:
     ia = t["image_assurance"].select(F.col("id").alias("ia_id"), F.col("name").alias("failed_policy"))
     sc = t["scans"].select(F.col("id").alias("s_id"), F.col("type").alias("failed_policy_type"))
     assured = (
-        sar.join(ia, sar["policy_id"] == ia["ia_id"])
-        .join(sc, sar["scan_id"] == sc["s_id"])
+        sar.join(sc, sar["scan_id"] == sc["s_id"])
+        .join(ia, sar["policy_id"] == ia["ia_id"])
         .select(
             F.col("scan_id").cast("string").alias("scan_id"),
             F.col("control").alias("failed_control"),

@@ -4,6 +4,7 @@ Loaders:
   * ``from_parquet``  – one directory (or file) per table under a root path.
   * ``from_jdbc``     – the operational and audit databases over JDBC, with partitioned reads
                         for the fact tables.
+  * ``from_catalog``  – tables registered in the session catalog (lakehouse/metastore).
   * ``from_driver``   – the posture tables derived from the driver's TPC-H-like Parquet.
   * ``from_frames``   – DataFrames built by the caller (unit tests).
 
@@ -89,6 +90,12 @@ class Tables:
         base = root.rstrip("/")
         return cls({n: (lambda n=n: wall_clock(spark.read.format(fmt).load(f"{base}/{n}{suffix}"))) for n in names})
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str, names: Iterable[str] = POSTURE_TABLES) -> Tables:
+        """Tables registered in the session catalog (lakehouse or metastore tables), e.g. a
+        snapshot whose scan-keyed facts are bucketed by scan id so their joins need no shuffle."""
+        return cls({n: (lambda n=n: wall_clock(spark.table(f"{database}.{n}"))) for n in names})
+
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> Tables:
         return cls(
