@@ -134,3 +134,28 @@ def test_missing_columns_reported_from_schema(spark, driver_tables):
     assert driver_tables.missing_columns() == {}
     t = Tables.from_frames({"hosts": spark.createDataFrame([("h1", "agent")], "id string, type string")})
     assert t.missing_columns() == {"hosts": ["logicalname", "status"]}
+
+
+def test_runner_cli_writes_reports_and_restores(spark, tmp_path, capsys):
+    from postura.runner import main
+    from postura.session import CLUSTER_DEFAULTS
+
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_DEFAULTS}
+    try:
+        code = main(
+            [
+                "--driver-tables", "/root/testdata/sf0.001",
+                "--out", str(tmp_path / "out"),
+                "--as-of", "2001-07-15 12:00:00",
+                "--only", "license_stats", "image_growth_metrics", "no_such_report",
+                "--concurrency", "2",
+            ]
+        )
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    printed = capsys.readouterr().out
+    assert code == 1  # the unknown key is recorded as a failure, the others still run
+    assert '"status": "Failure"' in printed and printed.count('"status": "Success"') == 2
+    rows = list(csv.reader(open(glob.glob(str(tmp_path / "out" / "license_stats_results" / "part-*.csv"))[0])))
+    assert rows[0] == ["metric", "used", "licesned", "utilization"] and len(rows) == 3
