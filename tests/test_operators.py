@@ -86,8 +86,19 @@ def test_month_spine_mid_month(spark):
     assert [r.ym for r in rows] == list(range(rows[0].ym, rows[0].ym + 12))
 
 
-def test_month_spine_month_end_stays_in_each_month(spark):
+def test_month_spine_month_end_steps_cumulatively(spark):
     rows = month_spine(spark, "2001-03-31 00:00:00").orderBy("idx").collect()
     assert [r.ym for r in rows] == list(range(rows[0].ym, rows[0].ym + 12))
-    feb = [r.datemonth for r in rows if r.datemonth.month == 2][0]
-    assert feb.day == 28
+    # each instant is one month after the previous one, the day clamped and carried on
+    assert rows[0].datemonth == dt.datetime(2000, 4, 30)
+    assert [r.datemonth.day for r in rows] == [30] * 10 + [28, 28]
+
+
+def test_month_instants_edge_cases():
+    from postura.operators.spine import add_months, month_instants
+
+    assert add_months(dt.datetime(2000, 1, 31, 5), 1) == dt.datetime(2000, 2, 29, 5)
+    assert add_months(dt.datetime(2000, 3, 31), -13) == dt.datetime(1999, 2, 28)
+    got = month_instants("2001-07-15 12:00:00")
+    assert len(got) == 12 and got[0] == dt.datetime(2000, 8, 15, 12) and got[-1] == dt.datetime(2001, 7, 15, 12)
+    assert len(month_instants("2000-02-29 23:59:59.5")) == 12

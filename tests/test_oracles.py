@@ -50,3 +50,18 @@ def test_report_matches_oracle_on_edge_tables(spark, edge_setup, key):
     tables, con = edge_setup
     res = compare(build_report(key, tables, spark), con, oracle_sql_posture(key))
     assert res["ok"], res
+
+
+MONTH_END = "2001-03-31 00:00:00"
+
+
+@pytest.mark.parametrize("key", ["host_added_over_time", "host_findings_over_time", "image_count_over_time"])
+def test_month_spine_reports_at_month_end_match_cumulative_series(spark, edge_setup, key):
+    """At a month-end instant the series steps 31 Mar -> 30 Apr -> ... -> 28 Feb -> 28 Mar, as
+    the source database (and DuckDB) generate it."""
+    from testsupport.oracles import AS_OF
+
+    tables, con = edge_setup
+    sql = oracle_sql_posture(key).replace(AS_OF, MONTH_END).replace(AS_OF[:10], MONTH_END[:10])
+    res = compare(build_report(key, tables, spark, as_of=MONTH_END), con, sql)
+    assert res["ok"], res
