@@ -41,5 +41,6 @@ def month_key(col: str | Column) -> Column:
 
 
 def to_ntz(col: str | Column) -> Column:
+    """Cast to TIMESTAMP_NTZ."""
     c = F.col(col) if isinstance(col, str) else col
     return c.cast("timestamp_ntz")

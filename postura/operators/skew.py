@@ -16,4 +16,5 @@ from pyspark.sql import DataFrame
 
 
 def splittable_side(df: DataFrame) -> DataFrame:
+    """``df`` rebalanced without keys, so the join above it shuffles it by the join key."""
     return df.hint("rebalance")

@@ -29,4 +29,5 @@ def top_per_key(
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key under ``order``."""
     return top_per_key(df, keys, order, k=1)

@@ -234,6 +234,7 @@ def licensed(quantity: str) -> Column:
 
 
 def licenses(t: Tables) -> DataFrame:
+    """One row: licensed amounts over Active licences for each licensed quantity."""
     return t["license"].where(F.col("status") == "Active").agg(
         licensed("enforcers").alias("licensed_enforcers"),
         licensed("repositories").alias("licensed_repositories"),

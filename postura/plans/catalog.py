@@ -57,6 +57,7 @@ DISABLED_REPORTS = ("host_bench_results_details",)
 
 
 def report_keys(include_disabled: bool = True) -> list[str]:
+    """Catalogue keys, optionally without the report the source ships disabled."""
     return [k for k in REPORTS if include_disabled or k not in DISABLED_REPORTS]
 
 
@@ -67,4 +68,5 @@ def build_report(
     as_of: str = AS_OF,
     severity_fn: SeverityFn = default_severity,
 ) -> DataFrame:
+    """Build (lazily) the DataFrame of one report over ``tables`` at the report instant ``as_of``."""
     return REPORTS[key](tables, Ctx(spark=spark, as_of=as_of, severity_fn=severity_fn))

@@ -74,6 +74,7 @@ def _container_vulns(t: Tables) -> DataFrame:
 
 
 def container_vuln_list(t: Tables, ctx: Ctx) -> DataFrame:
+    """One row per running container whose image has an image scan, with the latest scan's counts."""
     cv = _container_vulns(t)
     return cv.select(
         F.col("name").alias("container_name"),
@@ -93,6 +94,8 @@ def container_vuln_list(t: Tables, ctx: Ctx) -> DataFrame:
 
 
 def container_ns_vuln_summary(t: Tables, ctx: Ctx) -> DataFrame:
+    """Per namespace and controller: clusters, containers and images, and the rounded average
+    vulnerability counts of the containers' latest image scans."""
     cv = _container_vulns(t)
     cols = ("crit_vulns", "high_vulns", "med_vulns", "low_vulns", "neg_vulns", "total_vulns")
     sums = [F.sum(c).alias(f"s_{c}") for c in cols] + [F.count(c).alias(f"n_{c}") for c in cols]

@@ -76,6 +76,8 @@ def _event_rollup(df: DataFrame, keys: list) -> DataFrame:
 
 
 def audit_hosts_findings_by_action(t: Tables, ctx: Ctx) -> DataFrame:
+    """All audit events by type, category, action, control and response: count, latest id and
+    latest time."""
     a = _audit(t).select("type", "category", "action", _control().alias("control"), _response().alias("response"),
                          "id", "createtime")
     return (

@@ -69,6 +69,7 @@ def _assurance_summary(t: Tables, scan_type: str, subject: str) -> DataFrame:
 
 
 def host_assurance_summary(t: Tables, ctx: Ctx) -> DataFrame:
+    """Per assurance control over host scans: hosts scanned, hosts failed and the pass rate."""
     rows = _assurance_summary(t, "host", "host_id")
     return (
         rows.groupBy("control")

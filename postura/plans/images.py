@@ -15,6 +15,8 @@ from postura.sources.tables import Tables
 
 
 def image_assurance_control_summary(t: Tables, ctx: Ctx) -> DataFrame:
+    """Per assurance control over image scans: images checked, pass and fail rates (they may
+    add up to more than 100%: an image can pass in one scan and fail in another)."""
     rows = _assurance_summary(t, "image", "image_id")
     return (
         rows.groupBy("control")
@@ -370,6 +372,8 @@ def _repo_vulns(t: Tables, ctx: Ctx, detail: bool) -> DataFrame:
 
 
 def vuln_fix_age_detail(t: Tables, ctx: Ctx) -> DataFrame:
+    """The per-vulnerability relation the fix-age summary averages, with its image, score and
+    severity columns."""
     return _repo_vulns(t, ctx, detail=True).orderBy(
         F.col("fixed").asc(), F.col("age_in_days").desc_nulls_first(), F.col("repo_name").asc_nulls_last(),
         F.col("vuln_name").desc_nulls_first(), F.col("vuln_severity").asc_nulls_last(),

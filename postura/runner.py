@@ -33,6 +33,7 @@ from postura.sources.tables import JdbcSource, Tables
 
 
 def collection_order(include_disabled: bool = False) -> list[str]:
+    """Operational reports first, then the audit reports; the disabled report only on request."""
     keys = [k for k in REPORTS if include_disabled or k not in DISABLED_REPORTS]
     return [k for k in keys if k not in AUDIT_REPORTS] + [k for k in keys if k in AUDIT_REPORTS]
 
@@ -82,6 +83,7 @@ def _tables(spark: SparkSession, args: argparse.Namespace) -> Tables:
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Command-line entry point; returns 0 when every report succeeded."""
     p = argparse.ArgumentParser(description="Security-posture report collection on Spark")
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--parquet-root", help="directory with one table per sub-directory")

@@ -51,6 +51,7 @@ def apply_cluster_defaults(spark: SparkSession) -> dict[str, str]:
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "postura") -> SparkSession:
+    """A local session for tests and the bench (UI off, AQE on, session zone UTC)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)

@@ -43,6 +43,7 @@ def csv_ready(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write ``df`` as header-first CSV part files under ``path``."""
     (
         csv_ready(df)
         .write.mode(mode)
@@ -56,4 +57,5 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def report_path(out_dir: str, key: str) -> str:
+    """``<out_dir>/<key>_results``, the output location of one report."""
     return f"{out_dir.rstrip('/')}/{key}_results"

@@ -151,10 +151,12 @@ def _driver_name(template: str) -> str:
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def posture_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One posture table derived from a driver table by its mapping."""
     template = MAPPINGS[name]
     src = _driver_name(template)
     from postura.sources.tables import wall_clock
