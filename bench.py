@@ -1,7 +1,7 @@
 """Benchmark: every report key over the driver tables at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each report is forced with a ``noop`` write (full execution, no driver collect). One warm-up
-pass runs first; the timed value per key is the best of $BENCH_REPEAT runs (default 2).
+pass runs first; the timed value per key is the best of $BENCH_REPEAT runs (default 3).
 Prints one JSON line.
 """
 
@@ -28,7 +28,7 @@ def _sf(path: str) -> float | str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     keys = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k] or list(REPORTS)
 
     spark = local_session(cpus, shuffle_partitions=cpus * 2, app="postura-bench")
