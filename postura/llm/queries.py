@@ -6,18 +6,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postura.llm.common import table
+from postura.llm.common import cut, table
+from postura.llm.cover_tree import top_k
+from postura.llm.packing import cut_documents, pack
+from postura.llm.rotated_codes import approximate_nearest
+from postura.llm.secrets import BASE, scan, span_text
 from postura.llm.sentencepieces import encode_decode
+from postura.llm.sharding import hilbert_shards
+from postura.llm.simhash import simhash_groups
+from postura.llm.substrings import substring_dedup
 from postura.llm.token_counts import count_tokens
+from postura.llm.toxicity import fit_model, held_out, score
 
+PIECE_MODEL, WORD_VOCABULARY, BYTE_VOCABULARY = "piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.json"
+TOP_K, TOP_K_EVERY, TOP_K_SCALE = 10, 100, 1024
+NEAREST, NEAREST_EVERY = 5, 50
 TOKEN_LIMIT = 2048
+SHINGLE_WORDS, FINGERPRINT_BITS = 3, 3
+SHARDS = 8
+REPEAT_WORDS = 20
+SEQUENCE_TOKENS, END_ID = 1024, 2
+TOXIC_FROM = 0.3
 
 
 def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    coded = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -26,14 +42,72 @@ def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_cover_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), TOP_K, TOP_K_EVERY, TOP_K_SCALE)
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in BASE]
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select("doc_id", *map(of, kinds), F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(table(spark, sf_dir, "documents"), SHINGLE_WORDS, FINGERPRINT_BITS)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_rotated_codes_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return approximate_nearest(table(spark, sf_dir, "embeddings"), NEAREST, NEAREST_EVERY)
+
+
+def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = hilbert_shards(table(spark, sf_dir, "documents"), SHARDS)
+    return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(table(spark, sf_dir, "documents"), REPEAT_WORDS)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = cut_documents(docs, public_tokenizers.path(BYTE_VOCABULARY), END_ID, SEQUENCE_TOKENS)
+    digests = cut(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return pack(digests, SEQUENCE_TOKENS)
+
+
+def op9_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = score(docs, fit_model(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_codec": op1_sentencepiece_codec,
+    "op2_cover_tree_topk": op2_cover_tree_topk,
+    "op3_secret_scan": op3_secret_scan,
     "op4_token_counts": op4_token_counts,
+    "op5_simhash_groups": op5_simhash_groups,
+    "op6_rotated_codes_ann": op6_rotated_codes_ann,
+    "op7_hilbert_shards": op7_hilbert_shards,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_pattern_packing": op9_pattern_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
