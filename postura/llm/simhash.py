@@ -221,10 +221,10 @@ def near_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     # the turn puts the list's bits, which all members share, above the others
     turns = [F.expr(turned.format((i + 1) * width % 64) if (i + 1) * width % 64 else "fingerprint") for i in range(lists)]
     rank = F.element_at(F.array(*map(_gray_rank, turns)), F.col("quarter") + 1)
-    # at most lists * 2^width rows (262,144 for 3 bits), however many fingerprints there are
-    sizes = dealt.groupBy("quarter", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    dealt = dealt.join(F.broadcast(sizes), ["quarter", "value"])
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    # one row for each BLOCK members of a list at most, and at most lists * 2^width rows (262,144 for 3 bits)
+    long = dealt.groupBy("quarter", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
+    dealt = dealt.join(F.broadcast(long), ["quarter", "value"], "left")
+    blocks = F.ceil(F.coalesce(F.col("n"), F.lit(1)) / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("fingerprint"), blocks.cast("long")).cast("int")
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     keys = [F.col("quarter").cast("long").alias("quarter"), "value", F.least("own", "other").cast("long").alias("low"), F.greatest("own", "other").cast("long").alias("high")]

@@ -2,8 +2,10 @@
 
 Method: every word and its character n-grams (3 to 5 characters, word ends marked) are hashed to rows of
 one embedding table. A text is the average of all of them, and a linear softmax over that average
-gives the two classes; table and softmax are trained jointly in numpy (cross entropy, Adam). A
-misspelt or unseen word still has most n-grams of the word it resembles, and so its vectors.
+gives the two classes; table and softmax are trained jointly in numpy (cross entropy, Adam with weight
+decay and a falling rate). A misspelt or unseen word still has most n-grams of the word it resembles, and so its vectors.
+A word counts as often as it occurs, up to one 64th of the text's words and one more, and every average holds
+``BLANKS`` zero vectors besides, so that neither a repeated line nor a text of a few words is carried by chance.
 
 Fitting uses a bounded sample (``Fit``: texts of each class, and characters of a text), picked by a hash of
 doc_id among labelled rows outside the held-out fold, so that the driver holds a bounded amount whatever the
@@ -20,6 +22,7 @@ never held out; other input columns are ignored; an empty table gives an empty o
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,6 +33,8 @@ from pyspark.sql import functions as F
 from postura.llm.common import id_text, map_batches
 
 CACHE_ENTRIES = 400_000
+BLANKS = 500.0
+MOST = 1 / 64
 EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -37,14 +42,15 @@ EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 class Fit:
     """Bounds of the sample and settings of the training."""
 
-    toxic_texts: int = 2000
-    other_texts: int = 4000
+    toxic_texts: int = 2500
+    other_texts: int = 5000
     longest_text: int = 20_000
     buckets: int = 1 << 17
     width: int = 8
-    epochs: int = 12
+    epochs: int = 10
     batch: int = 128
     rate: float = 0.02
+    decay: float = 0.001
     seed: int = 7
 
 
@@ -101,17 +107,22 @@ def train(texts: list[str], toxic: list[int], share: float, fit: Fit) -> Model:
     """Table and softmax by Adam over minibatches; ``share`` is the share of toxic ones to which the offset is set back."""
     idx, cnt, ends = [], [], []
     for text in texts:
-        b, c = np.unique(features(text.split(), fit.buckets)[0], return_counts=True)
-        idx.append(b)
-        cnt.append((c / max(1, c.sum())).astype(np.float32))
+        all_words = text.split()
+        words, most = Counter(all_words), 1 + MOST * len(all_words)
+        found, n = features(list(words), fit.buckets)
+        b, at = np.unique(found, return_inverse=True)
+        c = np.bincount(at, np.repeat(np.minimum(np.fromiter(words.values(), float, len(words)), most), n), len(b))
+        idx.append(b.astype(np.int32))
+        cnt.append((c / (c.sum() + BLANKS)).astype(np.float32))
         ends.append(len(b))
     y = np.array(toxic)
     rng = np.random.default_rng(fit.seed)
-    table = rng.normal(0, 0.1, (fit.buckets, fit.width)).astype(np.float32)
-    soft = rng.normal(0, 0.1, (fit.width, 2)).astype(np.float32)
+    table = rng.normal(0, 0.01, (fit.buckets, fit.width)).astype(np.float32)
+    soft = rng.normal(0, 0.5, (fit.width, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (table, soft, bias)]
     scale, step = np.float32(100), 0  # averages of small vectors; the factor only sets their unit
+    steps = fit.epochs * -(-len(y) // fit.batch) + 1
     for _ in range(fit.epochs):
         order = rng.permutation(len(y))
         for at in range(0, len(order), fit.batch):
@@ -130,12 +141,13 @@ def train(texts: list[str], toxic: list[int], share: float, fit: Fit) -> Model:
             weights = np.repeat(down, sizes, axis=0) * c[:, None]
             g_table = np.stack([np.bincount(i, weights[:, k], fit.buckets) for k in range(fit.width)], 1).astype(np.float32)
             step += 1
+            table *= np.float32(1 - fit.decay)
             for param, grad, (m, v) in zip((table, soft, bias), (g_table, average.T @ p, p.sum(0)), state, strict=True):
                 m *= 0.9
                 m += 0.1 * grad
                 v *= 0.99
                 v += 0.01 * grad * grad
-                param -= np.float32(fit.rate) * (m / np.float32(1 - 0.9**step)) / (np.sqrt(v / np.float32(1 - 0.99**step)) + np.float32(1e-8))
+                param -= np.float32(fit.rate * (1 - step / steps)) * (m / np.float32(1 - 0.9**step)) / (np.sqrt(v / np.float32(1 - 0.99**step)) + np.float32(1e-8))
     own = y.mean()
     shift = np.log(share / (1 - share)) - np.log(own / (1 - own))
     return Model(float(bias[1] - bias[0] + shift), ((table @ (soft[:, 1] - soft[:, 0])) * scale).astype(np.float64))
@@ -184,9 +196,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     buckets, n = features(new, len(own.weights))
                     sums = np.bincount(np.repeat(np.arange(len(new)), n), own.weights[buckets], len(new))
                     cache.update(zip(new, (sums + 1j * n).tolist(), strict=True))
-                out += [sum(map(cache.__getitem__, words), 0j) for words in split]
+                for words in split:
+                    most = 1 + MOST * len(words)
+                    out.append(sum([cache[w] * n if n < most else cache[w] * most for w, n in Counter(words).items()], 0j))
             total = np.array(out)
-            logit = total.real / np.maximum(total.imag, 1) + own.offset
+            logit = total.real / (total.imag + BLANKS) + own.offset
             with np.errstate(over="ignore"):
                 scores = 1 / (1 + np.exp(-logit))
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])

@@ -100,7 +100,7 @@ def test_top_k(spark, odd_dir):
     given = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     columns = ["query_id", "rank", "vec_id", "score"]
     assert rows(QUERIES["op2_cover_tree_topk"](spark, SF), columns) == sorted(brute.op2(given), key=repr)
-    assert rows(QUERIES["op2_cover_tree_topk"](spark, odd_dir[0]), columns) == sorted(brute.op2([v for v in odd_dir[1] if v[0] != 501]), key=repr) or True
+    assert rows(QUERIES["op2_cover_tree_topk"](spark, odd_dir[0]), columns) == sorted(brute.op2(odd_dir[1]), key=repr)
 
 
 def test_nearest(spark, odd_dir):
@@ -141,12 +141,12 @@ def test_packing(spark, odd_dir, documents, which):
 def test_toxicity(spark, tmp_path):
     import zlib
 
-    where = "/root/testdata/sf0.01"
+    where = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{where}/labels.parquet").collect()}
     found = QUERIES["op10_toxicity"](spark, where).collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and r["predicted"] == (r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in found)
     tested = [r for r in found if r["held_out"] and r["doc_id"] in labels]
-    assert sum(r["predicted"] == labels[r["doc_id"]] for r in tested) / len(tested) > 0.93
+    assert sum(r["predicted"] == labels[r["doc_id"]] for r in tested) / len(tested) > 0.94
 
 
 def test_toxicity_of_odd_rows(spark, odd_dir):
