@@ -23,14 +23,19 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` written to ``spark.checkpoint.dir`` and read from there: later steps start from
-    files every executor can read, so a lost executor costs one task and nothing is computed twice."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; one of our own only where none is set, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` written to the shared folder and read from there: later steps start from
+    files every executor can read, so a lost executor costs one task and nothing is computed twice."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -172,8 +172,10 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     return Model(float(np.log(share / (1 - share))) if 0 < share < 1 else np.inf if share else -np.inf)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every row; the score is the softmax share of the toxic class."""
+def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, score) of every row, and the columns named in ``carry``, prefixed ``doc_``; the score is the softmax share of the toxic class."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"doc_{c}") for c in carry])
+    carried = "".join(f", `doc_{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema.fields) if carry else ""
     # one number for each bucket: ``Fit.buckets`` doubles
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -203,8 +205,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             logit = total.real / (total.imag + BLANKS) + own.offset
             with np.errstate(over="ignore"):
                 scores = 1 / (1 + np.exp(-logit))
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), *batch.columns[2:]], names=["doc_id", "score", *batch.schema.names[2:]])
 
         return each
 
-    return map_batches(id_text(docs), make, "doc_id long, score double")
+    return map_batches(rows, make, f"doc_id long, score double{carried}")
