@@ -200,11 +200,11 @@ def _reap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extend(least: int):
-    """(doc_id, version, text, asked runs) to its windows: two hashes, and where each begins."""
+    """(doc_id, version, text, asked runs, ...) to its windows: two hashes, and where each begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for d, v, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for d, v, text, asked in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 hashes = _word_hashes(text.encode().split())
                 begin = np.array([a["start"] for a in asked], np.int64)
                 n = np.array([a["windows"] for a in asked], np.int64)
@@ -256,8 +256,8 @@ def substring_dedup(docs: DataFrame, least: int = 20, anchor: int = 8, carry: tu
     found = cut(rows.mapInArrow(_reap, FOUND)).toDF("key", "version", "start", "windows", "sure")
     spans = F.collect_list(F.struct("start", "windows")).alias("spans")
     asked = found.filter("not sure").groupBy("key", "version").agg(spans)
-    # the same columns in both joins, so that the texts are shuffled once for the two
-    asking = keyed.join(asked, ["key", "version"]).select("key", "version", "text", "spans")
+    # all columns go along, though unread, so that both joins need the same shuffle of the texts and Spark makes it once
+    asking = keyed.join(asked, ["key", "version"]).select("key", "version", "text", "spans", *base.columns[:1], *base.columns[2:])
     windows = asking.mapInArrow(_extend(least), "h1 long, h2 long, key long, version long, start int")
     order = F.dense_rank().over(Window.partitionBy("h1", "h2").orderBy("key", "version", "start"))
     again = windows.withColumn("nth", order).filter("nth > 1").select("key", "version", "start", F.lit(1).alias("windows"))
