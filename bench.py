@@ -1,8 +1,8 @@
 """Benchmark: every report key over the driver tables at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each report is forced with a ``noop`` write (full execution, no driver collect). One warm-up
-pass runs first; the timed value per key is the best of $BENCH_REPEAT runs (default 3).
-Prints one JSON line.
+pass runs first; the timed value per key is the median of $BENCH_REPEAT runs (default 3), and all
+runs are printed beside it. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -10,14 +10,16 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from postura import REPORTS, Tables, build_report  # noqa: E402
+from postura import REPORTS, build_report  # noqa: E402
 from postura.session import local_session  # noqa: E402
+from testsupport.driver_fixture import AS_OF, posture_from_driver  # noqa: E402
 
 
 def _sf(path: str) -> float | str:
@@ -32,16 +34,17 @@ def main() -> None:
     keys = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k] or list(REPORTS)
 
     spark = local_session(cpus, shuffle_partitions=cpus * 2, app="postura-bench")
-    tables = Tables.from_driver(spark, sf_dir)
+    tables = posture_from_driver(spark, sf_dir)
 
     def run(key: str) -> float:
         t0 = time.perf_counter()
-        build_report(key, tables, spark).write.format("noop").mode("overwrite").save()
+        build_report(key, tables, spark, as_of=AS_OF).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
     for key in keys:  # warm-up: JIT, file listing, Python workers
         run(key)
-    times = {key: round(min(run(key) for _ in range(repeat)), 3) for key in keys}
+    runs = {key: [round(run(key), 3) for _ in range(repeat)] for key in keys}
+    times = {key: statistics.median(r) for key, r in runs.items()}
     print(
         json.dumps(
             {
@@ -49,6 +52,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "runs": runs,
                 "sf": _sf(sf_dir),
                 "cpus": cpus,
                 "spark": spark.version,

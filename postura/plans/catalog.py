@@ -7,6 +7,7 @@ report the source ships disabled.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from postura.functions.vulns import SeverityFn, default_severity
 from postura.plans import containers, governance, hosts, images
 from postura.plans.context import Ctx
-from postura.sources.driver_fixture import AS_OF
 from postura.sources.tables import Tables
 
 Report = Callable[[Tables, Ctx], DataFrame]
@@ -65,8 +65,10 @@ def build_report(
     key: str,
     tables: Tables,
     spark: SparkSession,
-    as_of: str = AS_OF,
+    as_of: str | None = None,
     severity_fn: SeverityFn = default_severity,
 ) -> DataFrame:
-    """Build (lazily) the DataFrame of one report over ``tables`` at the report instant ``as_of``."""
+    """Build (lazily) the DataFrame of one report over ``tables`` at the report instant ``as_of`` (now, in UTC, if none is given)."""
+    if as_of is None:
+        as_of = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     return REPORTS[key](tables, Ctx(spark=spark, as_of=as_of, severity_fn=severity_fn))

@@ -5,7 +5,6 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from postura.functions.vulns import SeverityFn, default_severity
-from postura.sources.driver_fixture import AS_OF
 
 
 @dataclass(frozen=True)
@@ -18,5 +17,5 @@ class Ctx:
     """
 
     spark: SparkSession
-    as_of: str = AS_OF
+    as_of: str
     severity_fn: SeverityFn = default_severity

@@ -1,14 +1,12 @@
 """Session construction for tests, the bench and the CLI runner.
 
 On a cluster the session comes from the platform; this only fills in settings that are
-unset. ``spark.checkpoint.dir`` is taken from the session when the cluster names one (a
-shared folder); a local default is set only when it is missing, as in tests.
+unset. No report cuts its lineage, so no checkpoint folder is set.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -62,20 +60,4 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only when none is set
-    (local sessions for tests and the bench; on a cluster the shared folder named in
-    ``spark.checkpoint.dir`` is used as is). No report currently needs a lineage cut: each is
-    one DAG whose lost tasks Spark recomputes from shuffle files."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="postura-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local

@@ -5,7 +5,6 @@ Loaders:
   * ``from_jdbc``     – the operational and audit databases over JDBC, with partitioned reads
                         for the fact tables.
   * ``from_catalog``  – tables registered in the session catalog (lakehouse/metastore).
-  * ``from_driver``   – the posture tables derived from the driver's TPC-H-like Parquet.
   * ``from_frames``   – DataFrames built by the caller (unit tests).
 
 Tables are created lazily on first use and cached in the registry, so a report only
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postura.schemas import AUDIT_TABLES, COLUMNS, POSTURE_TABLES
-from postura.sources import driver_fixture
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
@@ -96,12 +94,6 @@ class Tables:
         snapshot whose scan-keyed facts are bucketed by scan id so their joins need no shuffle."""
         return cls({n: (lambda n=n: wall_clock(spark.table(f"{database}.{n}"))) for n in names})
 
-    @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str) -> Tables:
-        return cls(
-            {n: (lambda n=n: driver_fixture.posture_table(spark, sf_dir, n)) for n in driver_fixture.MAPPINGS}
-        )
-
     @classmethod
     def from_jdbc(
         cls,

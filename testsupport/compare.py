@@ -11,7 +11,7 @@ from collections import Counter
 import duckdb
 from pyspark.sql import DataFrame
 
-from postura.sources.driver_fixture import DRIVER_TABLES
+from testsupport.driver_fixture import DRIVER_TABLES
 
 
 def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -10,26 +10,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postura.sources.tables import Tables, wall_clock
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Fixed mapping (shared with the DuckDB oracles); the report instant that goes with it is
-# AS_OF below. Every fact-like table grows with the driver tables; hosts and host benchmark
-# documents cover all customers (hosts with c_custkey % 20 = 7 are left out on purpose, so
-# some benchmark documents and containers point at unknown hosts).
+# AS_OF below. Every table covers all rows of its driver table, and the keys that tables share
+# (hosts, images, repositories) grow with them. No row is dropped: rows that must point nowhere
+# have a key that no other table has (a twentieth of the image metadata and of the hosts, and
+# assurance policy 7).
 MAPPINGS: dict[str, str] = {
     "registry_repositories": """
 SELECT s_suppkey AS id, s_name AS name, 'reg-' || CAST(s_nationkey % 4 AS STRING) AS registry_id FROM {supplier}""",
     "registry_images": """
-SELECT p_partkey AS id, p_name || ':' || CAST(p_partkey AS STRING) AS name, p_partkey % 10 AS repository_id,
+SELECT p_partkey AS id, p_name || ':' || CAST(p_partkey AS STRING) AS name, CAST(1 + floor(p_partkey / 20) AS BIGINT) AS repository_id,
        'reg-' || CAST(p_size % 4 AS STRING) AS registry_id,
        CAST(DATE '1999-09-01' + CAST(p_partkey * 7 % 680 AS INT) AS TIMESTAMP) AS created
 FROM {part}""",
     "image_metadata": """
-SELECT p_partkey AS image_id, 'sha256:' || CAST(p_partkey AS STRING) AS docker_id FROM {part} WHERE p_partkey % 20 <> 0""",
+SELECT CASE WHEN p_partkey % 20 = 0 THEN -p_partkey ELSE p_partkey END AS image_id,
+       'sha256:' || CAST(p_partkey AS STRING) AS docker_id
+FROM {part}""",
     "scans": """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'host' ELSE 'image' END AS type,
        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS image_id,
-       CASE WHEN o_orderkey % 3 = 0 THEN 'h' || CAST(o_custkey % 50 AS STRING) END AS host_id,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'h' || CAST(o_custkey AS STRING) END AS host_id,
        CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderdate END AS scan_date,
        CAST(CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS INT) AS malware,
        CAST(o_orderkey % 3 AS INT) AS sensitive, CAST(o_orderkey % 4 AS INT) AS crit_vulns,
@@ -48,7 +53,9 @@ SELECT l_orderkey AS scan_id, l_linenumber AS policy_id, l_returnflag || l_lines
        CASE WHEN l_discount > 0.055 THEN true WHEN l_discount > 0.045 THEN NULL ELSE false END AS failed
 FROM {lineitem}""",
     "image_assurance": """
-SELECT DISTINCT l_linenumber AS id, 'policy-' || CAST(l_linenumber AS STRING) AS name FROM {lineitem} WHERE l_linenumber < 7""",
+SELECT DISTINCT CASE WHEN l_linenumber < 7 THEN l_linenumber ELSE 1000 + l_linenumber END AS id,
+       'policy-' || CAST(l_linenumber AS STRING) AS name
+FROM {lineitem}""",
     "scan_resources": """
 SELECT DISTINCT l_orderkey AS scan_id, l_partkey AS resource_id FROM {lineitem}""",
     "known_resources": """
@@ -66,23 +73,23 @@ SELECT p_partkey AS id, p_partkey AS resource_id, 'VULN-' || CAST(p_partkey % 40
        CASE WHEN p_partkey % 2 = 0 THEN '2.0' END AS fix_version
 FROM {part}""",
     "hosts": """
-SELECT 'h' || CAST(c_custkey AS STRING) AS id,
+SELECT CASE WHEN c_custkey % 20 = 7 THEN 'gone' ELSE 'h' END || CAST(c_custkey AS STRING) AS id,
        'node' || CAST(c_custkey AS STRING) || '.r' || CAST(c_nationkey AS STRING) || '.example' AS logicalname,
        CASE WHEN c_custkey % 5 = 0 THEN 'vm' ELSE 'agent' END AS type,
        CASE WHEN c_custkey % 7 = 0 THEN 'disconnect' ELSE 'connect' END AS status
-FROM {customer} WHERE c_custkey % 20 <> 7""",
+FROM {customer}""",
     "agent_details": """
 SELECT 'h' || CAST(c_custkey AS STRING) AS hostid,
        '{{"vm_vendor_name":"v' || CAST(c_custkey % 3 AS STRING) || '","vm_location":"r' || CAST(c_nationkey % 4 AS STRING) || '"'
        || CASE c_custkey % 9 WHEN 0 THEN '' WHEN 1 THEN ',"vm_tags":null' WHEN 2 THEN ',"vm_tags":[]'
           ELSE ',"vm_tags":["env:prod","own:team:t' || CAST(c_custkey % 4 AS STRING) || '","plain","k:v,extra",7]' END
        || '}}' AS cloud_info
-FROM {customer} WHERE c_custkey < 50""",
+FROM {customer}""",
     "containers": """
 SELECT 'c' || CAST(c_custkey AS STRING) AS id, c_name AS name,
-       CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE 'img-' || CAST(c_custkey % 80 AS STRING) END AS image_name,
-       CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE 'sha256:' || CAST(c_custkey % 120 AS STRING) END AS oci_image_id,
-       'h' || CAST(c_custkey % 60 AS STRING) AS hostid,
+       CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE 'img-' || CAST(CAST(floor(c_custkey / 4) AS BIGINT) AS STRING) END AS image_name,
+       CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE 'sha256:' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) AS STRING) END AS oci_image_id,
+       'h' || CAST(CAST(floor(c_custkey / 5) AS BIGINT) AS STRING) AS hostid,
        CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey END AS scan_id,
        'reg-' || CAST(c_nationkey % 4 AS STRING) AS registry_id, 'cluster-' || CAST(c_nationkey % 3 AS STRING) AS level1,
        c_mktsegment AS level2, 'ctl-' || CAST(c_custkey % 12 AS STRING) AS level3,
@@ -159,11 +166,14 @@ def posture_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One posture table derived from a driver table by its mapping."""
     template = MAPPINGS[name]
     src = _driver_name(template)
-    from postura.sources.tables import wall_clock
-
     return wall_clock(spark.sql(template, **{src: driver_table(spark, sf_dir, src)}))
 
 
+def posture_from_driver(spark: SparkSession, sf_dir: str) -> Tables:
+    """Table registry over the posture tables of one driver directory."""
+    return Tables({n: (lambda n=n: posture_table(spark, sf_dir, n)) for n in MAPPINGS})
+
+
 def duckdb_cte(names: list[str] | tuple[str, ...]) -> str:
     """``WITH`` prefix defining the given posture tables over the driver views, for DuckDB."""
     parts = []

@@ -14,7 +14,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from postura import REPORTS, Tables, build_report  # noqa: E402
+from postura import REPORTS, build_report  # noqa: E402
+from testsupport.driver_fixture import AS_OF, posture_from_driver  # noqa: E402
 from postura.session import local_session  # noqa: E402
 
 COLUMNS = [
@@ -34,10 +35,10 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = Path(sys.argv[2] if len(sys.argv) > 2 else Path(__file__).resolve().parents[1] / "PLANS.md")
     spark = local_session(8, 16, app="postura-plans")
-    tables = Tables.from_driver(spark, sf_dir)
+    tables = posture_from_driver(spark, sf_dir)
     rows = []
     for key in REPORTS:
-        df = build_report(key, tables, spark)
+        df = build_report(key, tables, spark, as_of=AS_OF)
         plan = df._jdf.queryExecution().executedPlan().toString()  # initial (pre-AQE) physical plan
         rows.append([key] + [str(len(re.findall(p, plan))) for _, p in COLUMNS])
     head = "| report | " + " | ".join(c for c, _ in COLUMNS) + " |"
