@@ -2,14 +2,15 @@
 
     python -m postura.runner --parquet-root s3a://bucket/snapshot --out s3a://bucket/posture-2026-12-03
     python -m postura.runner --jdbc-url jdbc:postgresql://db:5432/operations \
-        --audit-jdbc-url jdbc:postgresql://db:5432/audit --out /data/out
-    python -m postura.runner --driver-tables /root/testdata/sf0.01 --out /tmp/out
+        --audit-jdbc-url jdbc:postgresql://audit:5432/audit --audit-user reader --audit-password-env AUDIT_PASSWORD \
+        --partition scans:id:1:900000000:400 --partition audit:id:1:2000000000:800 --out /data/out
 
 Operational reports run first, then the audit reports, as in the source tool. Spark schedules
 the work of each report across the cluster; ``--concurrency`` reports are submitted at a time
 from driver threads (independent Spark jobs share the executors, so small reports do not leave
 a large cluster idle). A failing report is recorded and the remaining reports still run. The database
-password is read from the ``--password-env`` environment variable, never from the command line.
+passwords are read from environment variables (``--password-env``, ``--audit-password-env``), never from the command line.
+``--partition TABLE:COLUMN:LOWER:UPPER:SLICES`` reads a table over JDBC in parallel range slices; a table without one is read by one task.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from postura.functions.vulns import SeverityFn, default_severity
 from postura.session import apply_cluster_defaults
 from postura.plans.catalog import AUDIT_REPORTS, DISABLED_REPORTS, REPORTS, build_report
 from postura.sources.csv_sink import report_path, write_csv
-from postura.sources.tables import JdbcSource, Tables
+from postura.sources.tables import JdbcSource, Partitioning, Tables
 
 
 def collection_order(include_disabled: bool = False) -> list[str]:
@@ -47,17 +48,16 @@ def collect(
     severity_fn: SeverityFn = default_severity,
     concurrency: int = 1,
 ) -> list[dict]:
-    """Write every report to ``<out_dir>/<key>_results``; return per-report status records
-    in the order of ``keys``."""
+    """Write every report to ``<out_dir>/<key>_results``; per report, in the order of ``keys``, where it was written
+    and how long that took, or the whole text of what stopped it."""
 
     def one(key: str) -> dict:
-        t0 = time.time()
+        began, path = time.monotonic(), report_path(out_dir, key)
         try:
-            df = build_report(key, tables, spark, as_of=as_of, severity_fn=severity_fn)
-            write_csv(df, report_path(out_dir, key))
-            return {"query_name": key, "collection_time": round(time.time() - t0, 2), "status": "Success"}
+            write_csv(build_report(key, tables, spark, as_of=as_of, severity_fn=severity_fn), path)
         except Exception as exc:  # noqa: BLE001 - one failing report must not stop the collection
-            return {"query_name": key, "status": "Failure", "error": str(exc).strip()[:2000]}
+            return {"report": key, "written": None, "reason": str(exc)}
+        return {"report": key, "written": path, "seconds": round(time.monotonic() - began, 3)}
 
     keys = list(keys or collection_order())
     if concurrency <= 1:
@@ -74,23 +74,40 @@ def collect(
 def _tables(spark: SparkSession, args: argparse.Namespace) -> Tables:
     if args.parquet_root:
         return Tables.from_parquet(spark, args.parquet_root, fmt=args.format)
-    if args.driver_tables:
-        return Tables.from_driver(spark, args.driver_tables)
+    return Tables.from_jdbc(spark, *jdbc_sources(args))
+
+
+def jdbc_sources(args: argparse.Namespace) -> tuple[JdbcSource, JdbcSource]:
+    """The operational and the audit source; each setting of the audit source falls back to the operational one."""
+    slices = dict(map(partition, args.partition or []))
     password = os.environ.get(args.password_env) if args.password_env else None
-    op = JdbcSource(url=args.jdbc_url, user=args.user, password=password)
-    audit = JdbcSource(url=args.audit_jdbc_url, user=args.user, password=password) if args.audit_jdbc_url else None
-    return Tables.from_jdbc(spark, op, audit)
+    audit_password = os.environ.get(args.audit_password_env) if args.audit_password_env else None
+    operational = JdbcSource(url=args.jdbc_url, user=args.user, password=password, partitioning=slices)
+    audit = JdbcSource(
+        url=args.audit_jdbc_url or args.jdbc_url,
+        user=args.audit_user or args.user,
+        password=password if audit_password is None else audit_password,
+        partitioning=slices,
+    )
+    return operational, audit
 
 
-def main(argv: list[str] | None = None) -> int:
-    """Command-line entry point; returns 0 when every report succeeded."""
+def partition(text: str) -> tuple[str, Partitioning]:
+    """``TABLE:COLUMN:LOWER:UPPER:SLICES``."""
+    table, column, lower, upper, slices = text.split(":")
+    return table, Partitioning(column, int(lower), int(upper), int(slices))
+
+
+def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Security-posture report collection on Spark")
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--parquet-root", help="directory with one table per sub-directory")
     src.add_argument("--jdbc-url", help="operational database JDBC URL")
-    src.add_argument("--driver-tables", help="test tables directory (posture tables derived on the fly)")
     p.add_argument("--format", default="parquet", help="table format under --parquet-root")
     p.add_argument("--audit-jdbc-url", help="audit database JDBC URL (defaults to the operational one)")
+    p.add_argument("--audit-user", help="audit database user (defaults to --user)")
+    p.add_argument("--audit-password-env", help="environment variable with the audit password (defaults to the operational one)")
+    p.add_argument("--partition", action="append", metavar="TABLE:COLUMN:LOWER:UPPER:SLICES", help="parallel JDBC read of a table; repeatable")
     p.add_argument("--user", default="postgres")
     p.add_argument("--password-env", default="POSTURA_DB_PASSWORD")
     p.add_argument("--out", required=True, help="output directory (any Spark-supported path)")
@@ -98,7 +115,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--include-disabled", action="store_true")
     p.add_argument("--only", nargs="*", help="report keys to run")
     p.add_argument("--concurrency", type=int, default=4, help="reports submitted at a time")
-    args = p.parse_args(argv)
+    return p.parse_args(argv)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command-line entry point; returns 0 when every report succeeded."""
+    args = arguments(argv)
 
     spark = SparkSession.builder.appName("postura-collect").getOrCreate()
     apply_cluster_defaults(spark)
@@ -109,8 +131,8 @@ def main(argv: list[str] | None = None) -> int:
     if missing:
         print(json.dumps({"missing_columns": missing}, indent=2), file=sys.stderr)
     records = collect(spark, tables, args.out, as_of, keys, concurrency=args.concurrency)
-    print(json.dumps({"collection_timestamp": as_of, "collection_data": records}, indent=2))
-    return 0 if all(r["status"] == "Success" for r in records) else 1
+    print(json.dumps({"as_of": as_of, "reports": records}, indent=2))
+    return 0 if all(r["written"] for r in records) else 1
 
 
 if __name__ == "__main__":

@@ -3,7 +3,8 @@
 Executors write the part files in parallel; nothing is collected to the driver. The path may
 be local, HDFS or an object store (``s3a://bucket/<env>-<timestamp>/``), which replaces the
 separate upload step of the source tool. NULL and the empty string are both written as an
-empty field, as the source tool's ``csv.writer`` does.
+empty field, as the source tool's ``csv.writer`` does; quotes are doubled likewise. Reports print
+wall-clock timestamps in UTC, without an offset.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("header", True)
         .option("nullValue", "")
         .option("emptyValue", "")
+        .option("quote", '"')
+        .option("escape", '"')  # a quote inside a value is doubled, as Python's csv module does
         .option("ignoreLeadingWhiteSpace", False)  # keep the padding of labels such as '  40.00%'
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

@@ -12,7 +12,7 @@ from postura import Tables, build_report
 from postura.runner import collect, collection_order
 from postura.schemas import AUDIT_TABLES, COLUMNS, POSTURE_TABLES
 from postura.sources import JdbcSource, Partitioning, write_csv
-from postura.sources.driver_fixture import MAPPINGS
+from testsupport.driver_fixture import AS_OF, MAPPINGS
 
 
 def test_driver_fixture_defines_every_posture_table_with_the_used_columns(driver_tables):
@@ -83,19 +83,19 @@ def test_collect_runs_operational_then_audit_and_records_failures(spark, driver_
     assert "host_bench_results_details" not in order
     keys = ["image_repo_scans", "audit_malware_list"]
     recs = collect(spark, driver_tables, str(tmp_path), "2001-07-15 12:00:00", keys)
-    assert [r["status"] for r in recs] == ["Success", "Success"]
+    assert [r["written"] for r in recs] == [str(tmp_path / f"{k}_results") for k in keys]
     assert glob.glob(str(tmp_path / "image_repo_scans_results" / "part-*.csv"))
     broken = Tables.from_frames({})
     recs = collect(spark, broken, str(tmp_path / "b"), "2001-07-15 12:00:00", ["image_repo_scans"])
-    assert recs[0]["status"] == "Failure" and "not registered" in recs[0]["error"]
+    assert recs[0]["written"] is None and "not registered" in recs[0]["reason"]
 
 
 def test_parquet_source_round_trip(spark, driver_tables, tmp_path):
     for name in ("scans", "registry_images", "registry_repositories"):
         driver_tables[name].write.parquet(str(tmp_path / name))
     t = Tables.from_parquet(spark, str(tmp_path), names=["scans", "registry_images", "registry_repositories"])
-    a = sorted(tuple(r) for r in build_report("image_repo_scans", t, spark).collect())
-    b = sorted(tuple(r) for r in build_report("image_repo_scans", driver_tables, spark).collect())
+    a = sorted(tuple(r) for r in build_report("image_repo_scans", t, spark, as_of=AS_OF).collect())
+    b = sorted(tuple(r) for r in build_report("image_repo_scans", driver_tables, spark, as_of=AS_OF).collect())
     assert a == b
 
 
@@ -111,7 +111,7 @@ def test_zoned_timestamps_become_wall_clock(spark):
 def test_collect_concurrently_keeps_order_and_outputs(spark, driver_tables, tmp_path):
     keys = ["image_repo_scans", "license_stats", "audit_malware_list", "image_growth_metrics"]
     recs = collect(spark, driver_tables, str(tmp_path), "2001-07-15 12:00:00", keys, concurrency=3)
-    assert [r["query_name"] for r in recs] == keys and all(r["status"] == "Success" for r in recs)
+    assert [r["report"] for r in recs] == keys and all(r["written"] for r in recs)
     for k in keys:
         assert glob.glob(str(tmp_path / f"{k}_results" / "part-*.csv")), k
 
@@ -136,15 +136,58 @@ def test_missing_columns_reported_from_schema(spark, driver_tables):
     assert t.missing_columns() == {"hosts": ["logicalname", "status"]}
 
 
-def test_runner_cli_writes_reports_and_restores(spark, tmp_path, capsys):
+def test_a_failing_report_keeps_its_whole_reason(spark, tmp_path):
+    class Broken(Tables):
+        def __getitem__(self, name):
+            raise RuntimeError("x" * 5000)
+
+    (rec,) = collect(spark, Broken({}), str(tmp_path), "2001-07-15 12:00:00", ["image_repo_scans"])
+    assert len(rec["reason"]) == 5000
+
+
+def test_csv_sink_round_trips_quotes_commas_newlines_and_backslashes(spark, tmp_path):
+    values = ['say "hi", ok', '"', "a,b", "line\nbreak", "back\\slash", '\\"', "plain", " padded "]
+    df = spark.createDataFrame([(i, v, "z") for i, v in enumerate(values)], "i int, v string, z string").coalesce(1)
+    write_csv(df, str(tmp_path / "q"))
+    (part,) = glob.glob(str(tmp_path / "q" / "part-*.csv"))
+    rows = list(csv.reader(open(part, newline="")))
+    assert rows[0] == ["i", "v", "z"] and sorted(rows[1:]) == sorted([str(i), v, "z"] for i, v in enumerate(values))
+
+
+def test_jdbc_flags_reach_the_sources(monkeypatch):
+    from postura.runner import arguments, jdbc_sources
+
+    monkeypatch.setenv("OP_PW", "one")
+    monkeypatch.setenv("AUDIT_PW", "two")
+    base = ["--jdbc-url", "jdbc:postgresql://op/db", "--out", "o", "--password-env", "OP_PW", "--partition", "scans:id:1:900:40", "--partition", "audit:id:5:50:3"]
+    op, audit = jdbc_sources(arguments([*base, "--audit-jdbc-url", "jdbc:postgresql://au/db", "--audit-user", "reader", "--audit-password-env", "AUDIT_PW"]))
+    assert (op.url, op.user, op.password) == ("jdbc:postgresql://op/db", "postgres", "one")
+    assert (audit.url, audit.user, audit.password) == ("jdbc:postgresql://au/db", "reader", "two")
+    scans = op.options("scans")
+    assert (scans["partitionColumn"], scans["lowerBound"], scans["upperBound"], scans["numPartitions"]) == ("id", "1", "900", "40")
+    assert audit.options("audit")["numPartitions"] == "3" and "partitionColumn" not in op.options("hosts")
+    op, audit = jdbc_sources(arguments(base))
+    assert (audit.url, audit.user, audit.password) == (op.url, op.user, op.password)
+
+
+def test_report_instant_defaults_to_now(spark, driver_tables):
+    import datetime as dt
+
+    rows = build_report("host_added_over_time", driver_tables, spark).collect()
+    assert rows[0]["month"] == dt.datetime.now(dt.timezone.utc).strftime("%b %y")
+
+
+def test_runner_cli_writes_reports_and_restores(spark, driver_tables, tmp_path, capsys):
     from postura.runner import main
     from postura.session import CLUSTER_DEFAULTS
 
+    for name in driver_tables.names():
+        driver_tables[name].limit(50).write.parquet(str(tmp_path / "in" / name))
     before = {k: spark.conf.get(k, None) for k in CLUSTER_DEFAULTS}
     try:
         code = main(
             [
-                "--driver-tables", "/root/testdata/sf0.001",
+                "--parquet-root", str(tmp_path / "in"),
                 "--out", str(tmp_path / "out"),
                 "--as-of", "2001-07-15 12:00:00",
                 "--only", "license_stats", "image_growth_metrics", "no_such_report",
@@ -156,6 +199,6 @@ def test_runner_cli_writes_reports_and_restores(spark, tmp_path, capsys):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     printed = capsys.readouterr().out
     assert code == 1  # the unknown key is recorded as a failure, the others still run
-    assert '"status": "Failure"' in printed and printed.count('"status": "Success"') == 2
+    assert printed.count('"written": null') == 1 and printed.count('"seconds"') == 2
     rows = list(csv.reader(open(glob.glob(str(tmp_path / "out" / "license_stats_results" / "part-*.csv"))[0])))
     assert rows[0] == ["metric", "used", "licesned", "utilization"] and len(rows) == 3
