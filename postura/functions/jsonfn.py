@@ -36,6 +36,7 @@ def json_array_text(col: str | Column) -> Column:
 
 
 def json_object_entries(col: str | Column) -> Column:
-    """``jsonb_each`` source: a JSON object as map<string,string>; nested values stay raw JSON."""
+    """``jsonb_each`` source: a JSON object as map<string,variant>, so that a text value that looks like an
+    object stays a text."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.from_json(c, "map<string,string>")
+    return F.from_json(c, "map<string,variant>")

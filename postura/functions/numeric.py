@@ -27,7 +27,8 @@ def _q(name: str) -> str:
 
 
 def _round_ratio_sql(num: str, den: str, scale: int) -> str:
-    n, d = f"CAST({num} AS BIGINT)", f"CAST({den} AS BIGINT)"
+    # sums over a large table times 20000 would not fit a BIGINT; the quotient does
+    n, d = f"CAST({num} AS DECIMAL(38,0))", f"CAST({den} AS DECIMAL(38,0))"
     return (
         f"(CASE WHEN {d} IS NULL OR {d} = 0 OR {n} IS NULL THEN CAST(NULL AS BIGINT) "
         f"ELSE (CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END) * "

@@ -38,9 +38,3 @@ def month_label(col: str | Column) -> Column:
 def month_key(col: str | Column) -> Column:
     """``to_char(ts, 'mmyy')``: two-digit month and two-digit year (years a century apart collide)."""
     return F.date_format(col, "MMyy")
-
-
-def to_ntz(col: str | Column) -> Column:
-    """Cast to TIMESTAMP_NTZ."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("timestamp_ntz")

@@ -5,7 +5,7 @@ A literal OR condition has no equi-join key, so Spark would plan a BroadcastNest
 distinct non-null keys and equi-joined to the right side. A right row equals at most one
 distinct key of a left row, so it matches that row exactly once, as under the OR.
 
-For the left-outer form the exploded rows that found no partner are surplus: a left row keeps
+The exploded rows that found no partner are surplus: a left row keeps
 them only when none of its keys matched, and then exactly one of them. That decision is a
 window over the rows of one left row, so the left side is read once.
 """
@@ -23,23 +23,19 @@ def any_key_join(
     keys: Sequence[Column],
     right: DataFrame,
     right_key: str,
-    how: str = "left",
     row_identity: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
 ) -> DataFrame:
-    """``left JOIN right ON right.right_key IN (keys...)``; keys are compared as text.
+    """``left LEFT JOIN right ON right.right_key IN (keys...)``; keys are compared as text.
 
-    ``how`` is ``"inner"`` or ``"left"``. Output: all left columns plus the right columns
-    other than ``right_key``.
+    Output: all left columns plus the right columns other than ``right_key``.
 
-    Left form only: ``row_identity`` names left columns that, together with the keys,
+    ``row_identity`` names left columns that, together with the keys,
     identify a left row's exploded rows (rows with equal keys always match alike, so the keys
     alone are enough; adding e.g. the primary key lets a later window reuse the partitioning).
     ``cluster_by`` (a subset of ``row_identity``) is the hash partitioning applied before the
     window, so a following window partitioned by the same columns needs no extra shuffle.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be 'inner' or 'left'")
     kcols = [f"__k{i}" for i in range(len(keys))]
     tagged = left.select("*", *[k.cast("string").alias(c) for k, c in zip(keys, kcols)])
     distinct_keys = F.array_distinct(F.array_compact(F.array(*kcols)))
@@ -48,9 +44,6 @@ def any_key_join(
     )
     r = right.select(F.col(right_key).alias("__rk"), *[c for c in right.columns if c != right_key])
     r = r.where(F.col("__rk").isNotNull())
-    if how == "inner":
-        return exploded.join(r, F.col("__k") == F.col("__rk")).drop(*kcols, "__keys", "__k", "__rk")
-
     joined = exploded.join(r, F.col("__k") == F.col("__rk"), "left")
     if cluster_by:
         joined = joined.repartition(*cluster_by)

@@ -1,4 +1,4 @@
-"""Month spine: ``generate_series(now() - interval '11 months', now(), '1 month')``.
+"""Month spine: twelve instants, one a month, that end at the report instant.
 
 The series steps cumulatively, each instant one month after the previous one with the day
 clamped to the month's length, as the source database does (from 31 Mar: 30 Apr, 30 May,

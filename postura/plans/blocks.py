@@ -60,35 +60,28 @@ def policy_failures(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- image vulnerability summaries
 
 
-def image_vuln_summary(t: Tables) -> DataFrame:
-    """Image x metadata x repository x image scan: one row per image scan with its counts."""
+def latest_image_vuln_summary(t: Tables) -> DataFrame:
+    """Image x metadata x repository x image scan, reduced to one scan per docker id (latest scan, then highest
+    scan and image id). A container's pick depends only on its image, so the scans are reduced to one
+    per image before any join (a partial limit ahead of the shuffle, so a hot image costs one row
+    a task), and then to one per docker id."""
+    sc = t["scans"].where((F.col("type") == "image") & F.col("image_id").isNotNull()).select(
+        F.col("id").alias("scan_id"), "image_id", "scan_date", *SEVERITY_COLUMNS
+    )
+    latest = first_per_key(sc, ["image_id"], scan_order("scan_date", "scan_id"))
     ri = t["registry_images"].select(F.col("id").alias("image_id"), F.col("name").alias("image_name"), "repository_id")
     im = t["image_metadata"].select("image_id", "docker_id")
     rr = t["registry_repositories"].select(F.col("id").alias("repository_id"), F.col("name").alias("repo_name"))
-    sc = t["scans"].where(F.col("type") == "image").select(
-        F.col("id").alias("scan_id"), "image_id", "scan_date", *SEVERITY_COLUMNS
-    )
-    return (
+    rows = (
         ri.join(im, "image_id")
         .join(rr, "repository_id")
-        .join(sc, "image_id")
+        .join(latest, "image_id")
         .select(
             "image_id", "docker_id", "image_name", "repo_name", *SEVERITY_COLUMNS,
             total_vulns().alias("total_vulns"), "scan_id", "scan_date",
         )
     )
-
-
-def latest_image_vuln_summary(t: Tables) -> DataFrame:
-    """``image_vuln_summary`` reduced to one scan per docker id (latest scan, then highest scan
-    and image id). A container's pick depends only on its image, so picking per image first
-    avoids joining every container with every scan of its image."""
-    ivs = image_vuln_summary(t)
-    return first_per_key(
-        ivs,
-        ["docker_id"],
-        [F.col("scan_date").desc_nulls_first(), F.col("scan_id").desc(), F.col("image_id").desc()],
-    )
+    return first_per_key(rows, ["docker_id"], [*scan_order("scan_date", "scan_id"), F.col("image_id").desc()])
 
 
 def container_presence(t: Tables) -> DataFrame:
@@ -120,16 +113,16 @@ def image_vuln_distribution_rows(t: Tables, with_repo: bool) -> DataFrame:
     )
     meta = im.join(pres, "docker_id", "left").select("image_id", F.explode(exist).alias("containers_exist"))
     ri = t["registry_images"].select(F.col("id").alias("image_id"), F.col("name").alias("image_name"), "repository_id")
-    sc = t["scans"].where(F.col("type") == "image").select("image_id", *SEVERITY_COLUMNS)
+    # names follow from the image, so scans are reduced to their distinct counts per image first
+    sc = t["scans"].where(F.col("type") == "image").select("image_id", *SEVERITY_COLUMNS).distinct()
     rows = meta.join(ri, "image_id")
     cols = ["image_id", "image_name"]
     if with_repo:
         rr = t["registry_repositories"].select(F.col("id").alias("repository_id"), F.col("name").alias("repo_name"))
         rows = rows.join(rr, "repository_id")
         cols.append("repo_name")
-    # a hot image on the scan side stays splittable
-    rows = splittable_side(rows).join(sc, "image_id")
-    return rows.select(*cols, "containers_exist", *SEVERITY_COLUMNS, total_vulns().alias("total_vulns")).distinct()
+    rows = splittable_side(rows.select(*cols, "containers_exist").distinct()).join(sc, "image_id")
+    return rows.select(*cols, "containers_exist", *SEVERITY_COLUMNS, total_vulns().alias("total_vulns"))
 
 
 # ---------------------------------------------------------------- latest image / host risk

@@ -53,6 +53,7 @@ def container_assurance_summary(t: Tables, ctx: Ctx) -> DataFrame:
     return (
         own.select(*cols)
         .unionByName(via_image.select(*cols))
+        .distinct()
         .groupBy(F.col("failed_policy_type").alias("failed_control_type"), "failed_control")
         .agg(
             F.count_distinct("id").alias("container_count"),
@@ -125,7 +126,6 @@ def containers_running_with_findings_list(t: Tables, ctx: Ctx) -> DataFrame:
         [F.col("scan_id"), F.col("ir_scan_id"), F.col("hr_scan_id"), F.col("id")],
         pf,
         "scan_id",
-        how="left",
         row_identity=["id"],
         cluster_by=["id"],
     )

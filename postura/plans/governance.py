@@ -43,7 +43,7 @@ def policy_runtime_enabled(t: Tables, ctx: Ctx) -> DataFrame:
         "author",
         F.explode(json_object_entries("policy")).alias("control", "value"),
     )
-    control_enabled = F.get_json_object(F.col("value"), "$.enabled")
+    control_enabled = F.try_variant_get(F.col("value"), "$.enabled", "string")
     return entries.select(
         "name", "lastupdate", "enabled", "enforced", "author", "control", control_enabled.alias("control_enabled")
     ).where(F.col("control_enabled") == "true")

@@ -68,16 +68,24 @@ def _assurance_summary(t: Tables, scan_type: str, subject: str) -> DataFrame:
     return sar.join(sc, sar["scan_id"] == sc["s_id"]).join(ia, "policy_id", "left_semi")
 
 
+def subject_counts(t: Tables, scan_type: str, subject: str) -> DataFrame:
+    """Per control: subjects (hosts or images) checked, failed and passed, each counted once. The fact is
+    aggregated once per (control, subject), so no row is repeated for several distinct counts."""
+    per_subject = _assurance_summary(t, scan_type, subject).groupBy("control", subject).agg(
+        F.max(F.col("failed") == F.lit(True)).alias("any_failed"), F.max(F.col("failed") == F.lit(False)).alias("any_passed")
+    )
+    return per_subject.groupBy("control").agg(
+        F.count(subject).alias("checked"),
+        F.count(F.when(F.col("any_failed"), F.col(subject))).alias("failed"),
+        F.count(F.when(F.col("any_passed"), F.col(subject))).alias("passed"),
+    )
+
+
 def host_assurance_summary(t: Tables, ctx: Ctx) -> DataFrame:
     """Per assurance control over host scans: hosts scanned, hosts failed and the pass rate."""
-    rows = _assurance_summary(t, "host", "host_id")
     return (
-        rows.groupBy("control")
-        .agg(
-            F.count_distinct("host_id").alias("hosts_scanned"),
-            F.count_distinct(F.when(F.col("failed") == F.lit(True), F.col("host_id"))).alias("hosts_failed"),
-            F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("host_id"))).alias("hosts_passed"),
-        )
+        subject_counts(t, "host", "host_id")
+        .withColumnsRenamed({"checked": "hosts_scanned", "failed": "hosts_failed", "passed": "hosts_passed"})
         .select("control", "hosts_scanned", "hosts_failed", pct_label("hosts_passed", "hosts_scanned").alias("pass_rate"))
         .orderBy(F.col("hosts_scanned").desc())
     )

@@ -10,21 +10,16 @@ from postura.functions.vulns import SEVERITY_COLUMNS
 from postura.operators import labelled_rows, month_spine, splittable_side, top_per_key
 from postura.plans.blocks import image_vuln_distribution_rows
 from postura.plans.context import Ctx
-from postura.plans.hosts import _assurance_summary
+from postura.plans.hosts import subject_counts
 from postura.sources.tables import Tables
 
 
 def image_assurance_control_summary(t: Tables, ctx: Ctx) -> DataFrame:
     """Per assurance control over image scans: images checked, pass and fail rates (they may
     add up to more than 100%: an image can pass in one scan and fail in another)."""
-    rows = _assurance_summary(t, "image", "image_id")
     return (
-        rows.groupBy("control")
-        .agg(
-            F.count_distinct("image_id").alias("images_checked"),
-            F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("image_id"))).alias("passed"),
-            F.count_distinct(F.when(F.col("failed") == F.lit(True), F.col("image_id"))).alias("failed"),
-        )
+        subject_counts(t, "image", "image_id")
+        .withColumnRenamed("checked", "images_checked")
         .select(
             "control",
             "images_checked",
@@ -110,12 +105,18 @@ def image_ia_repo_results(t: Tables, ctx: Ctx) -> DataFrame:
     sc = t["scans"].where(F.col("type") == "image").select(F.col("id").alias("scan_id"), "image_id")
     sar = t["scan_assurance_results"].select("scan_id", "control", "failed")
     rows = sc.join(_image_scans(t), "image_id").join(sar, "scan_id")
-    agg = rows.groupBy(F.col("repo_name").alias("repository_name")).agg(
-        F.count_distinct("image_id").alias("num_of_images"),
-        F.count_distinct("control").alias("controls_checked"),
-        F.count_distinct(F.when(F.col("failed") == F.lit(False), F.col("control"))).alias("passed"),
-        F.count_distinct(F.when(F.col("failed") == F.lit(True), F.col("control"))).alias("failed"),
-    )
+    # the fact is reduced once; images and controls are counted on the small relation
+    per_image = rows.groupBy(F.col("repo_name").alias("repository_name"), "image_id", "control").agg(
+        F.max(F.col("failed") == F.lit(True)).alias("any_failed"), F.max(F.col("failed") == F.lit(False)).alias("any_passed")
+    )
+    images = per_image.groupBy("repository_name").agg(F.count_distinct("image_id").alias("num_of_images"))
+    per_control = per_image.groupBy("repository_name", "control").agg(F.max("any_failed").alias("f"), F.max("any_passed").alias("p"))
+    controls = per_control.groupBy(F.col("repository_name").alias("c_name")).agg(
+        F.count("control").alias("controls_checked"),
+        F.count(F.when(F.col("p"), F.col("control"))).alias("passed"),
+        F.count(F.when(F.col("f"), F.col("control"))).alias("failed"),
+    )
+    agg = images.join(controls, F.col("repository_name").eqNullSafe(F.col("c_name")))
     return (
         agg.orderBy(
             (F.col("failed").cast("double") / F.col("controls_checked")).desc_nulls_first(),
@@ -188,7 +189,7 @@ def image_repo_vuln_severity_distribution(t: Tables, ctx: Ctx) -> DataFrame:
         *[(F.sum(c) * 10).alias(f"x_{c}") for c in SEVERITY_COLUMNS],
     )
     top = (
-        agg.withColumn("total_vulns", F.col("s_total").cast("int"))
+        agg.withColumn("total_vulns", F.col("s_total").cast("bigint"))
         .orderBy(F.col("total_vulns").desc_nulls_first(), F.col("repo_name").asc_nulls_last())
         .limit(10)
     )
@@ -222,7 +223,7 @@ def image_vulns_distribution(t: Tables, ctx: Ctx) -> DataFrame:
 
 
 def _repo_images(t: Tables) -> DataFrame:
-    """Images of each repository that have metadata, with their creation date."""
+    """Images of existing repositories that have metadata, with their creation date."""
     ri = t["registry_images"].select(
         F.col("id").alias("image_id"),
         F.to_date("created").alias("create_date"),
@@ -230,7 +231,8 @@ def _repo_images(t: Tables) -> DataFrame:
         F.col("name").alias("image_name"),
     )
     im = t["image_metadata"].select("image_id")
-    return ri.join(im, "image_id")
+    rr = t["registry_repositories"].select(F.col("id").alias("repo_id"))
+    return ri.join(rr, "repo_id", "left_semi").join(im, "image_id")
 
 
 def _repo_vuln_facts(t: Tables, dim: DataFrame) -> DataFrame:
@@ -250,7 +252,6 @@ def _repo_vuln_facts(t: Tables, dim: DataFrame) -> DataFrame:
         .groupBy("repo_id", "resource_id")
         .agg(F.min("create_date").alias("lo"), F.max("create_date").alias("hi"))
     )
-    rr = t["registry_repositories"].select(F.col("id").alias("repo_id"))
     kr = t["known_resources"].select(F.col("id").alias("resource_id"))
     krv = (
         t["known_resource_vulnerabilities"]
@@ -259,8 +260,8 @@ def _repo_vuln_facts(t: Tables, dim: DataFrame) -> DataFrame:
         .join(kr, "resource_id", "left_semi")
     )
     return (
-        per_resource.join(rr, "repo_id", "left_semi")
-        .join(krv, "resource_id")
+        # the semi join has left the vulnerabilities in place by resource; a resource found in every repository stays splittable
+        per_resource.join(splittable_side(krv), "resource_id")
         .groupBy("repo_id", "vuln_name")
         .agg(F.min("vuln_row_id").alias("vuln_id"), F.min("lo").alias("min_date"), F.max("hi").alias("max_date"))
     )
@@ -373,11 +374,8 @@ def _repo_vulns(t: Tables, ctx: Ctx, detail: bool) -> DataFrame:
 
 def vuln_fix_age_detail(t: Tables, ctx: Ctx) -> DataFrame:
     """The per-vulnerability relation the fix-age summary averages, with its image, score and
-    severity columns."""
-    return _repo_vulns(t, ctx, detail=True).orderBy(
-        F.col("fixed").asc(), F.col("age_in_days").desc_nulls_first(), F.col("repo_name").asc_nulls_last(),
-        F.col("vuln_name").desc_nulls_first(), F.col("vuln_severity").asc_nulls_last(),
-    )
+    severity columns, in no order (its only reader aggregates it)."""
+    return _repo_vulns(t, ctx, detail=True)
 
 
 def image_vuln_fix_age_summary(t: Tables, ctx: Ctx) -> DataFrame:

@@ -24,6 +24,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def driver_tables(spark):
-    from postura import Tables
+    from testsupport.driver_fixture import posture_from_driver
 
-    return Tables.from_driver(spark, SF_SMALL)
+    return posture_from_driver(spark, SF_SMALL)

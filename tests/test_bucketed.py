@@ -6,6 +6,7 @@ import re
 import uuid
 
 from postura import Tables, build_report
+from testsupport.driver_fixture import AS_OF
 from postura.schemas import POSTURE_TABLES
 
 
@@ -25,13 +26,13 @@ def test_bucketed_facts_join_without_shuffle(spark, driver_tables, tmp_path):
             w.saveAsTable(f"{db}.{name}")
         t = Tables.from_catalog(spark, db)
         for key in ("image_assurance_control_summary", "host_assurance_summary", "container_assurance_summary"):
-            plan = build_report(key, t, spark)._jdf.queryExecution().executedPlan().toString()
+            plan = build_report(key, t, spark, as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
             # assurance results meet scans on the scan id reading both bucketed tables as they lie
             assert re.search(r"SortMergeJoin \[scan_id#\d+L?\], \[s_id", plan), (key, plan)
             assert "Bucketed: true" in plan
             assert not re.search(r"Exchange hashpartitioning\((scan_id|s_id)#\d+L?, ", plan), (key, plan)
-            got = sorted(tuple(r) for r in build_report(key, t, spark).collect())
-            want = sorted(tuple(r) for r in build_report(key, driver_tables, spark).collect())
+            got = sorted(tuple(r) for r in build_report(key, t, spark, as_of=AS_OF).collect())
+            want = sorted(tuple(r) for r in build_report(key, driver_tables, spark, as_of=AS_OF).collect())
             assert got == want, key
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

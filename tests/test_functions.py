@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from postura.functions import pct_label, round_ratio  # noqa: F811
 from postura.functions import avg_int, epoch_to_ts, month_key, month_label, pct_label, vuln_score, vuln_severity
 
 
@@ -97,3 +98,9 @@ def test_epoch_to_ts_keeps_fractions(spark):
     df = spark.createDataFrame([(990000000.25,), (-1.5,)], "e double")
     got = [r.t for r in df.select(epoch_to_ts("e").alias("t")).collect()]
     assert got == [dt.datetime(2001, 5, 16, 8, 0, 0, 250000), dt.datetime(1969, 12, 31, 23, 59, 58, 500000)]
+
+
+def test_ratios_of_large_sums_do_not_overflow(spark):
+    df = spark.sql("SELECT CAST(500000000000000 AS BIGINT) AS n, CAST(1000000000000000 AS BIGINT) AS d, CAST(9000000000000000000 AS BIGINT) AS big")
+    row = df.select(pct_label("n", "d").alias("p"), round_ratio("n", "d", 100).alias("r"), pct_label("big", "big").alias("q")).first()
+    assert (row.p.strip(), row.r, row.q.strip()) == ("50.00%", 50, "100.00%")

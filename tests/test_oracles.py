@@ -7,6 +7,7 @@ import pytest
 
 from postura import REPORTS, Tables, build_report
 from postura.schemas import POSTURE_TABLES
+from testsupport.driver_fixture import AS_OF, posture_from_driver
 from testsupport.compare import compare, duck_connection
 from testsupport.edge_fixture import edge_frames
 from testsupport.oracles import oracle_sql, oracle_sql_posture
@@ -23,12 +24,12 @@ def duck_driver():
 
 @pytest.fixture(scope="module")
 def oracle_tables(spark):
-    return Tables.from_driver(spark, SF_ORACLE)
+    return posture_from_driver(spark, SF_ORACLE)
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_report_matches_oracle_on_driver_tables(spark, oracle_tables, duck_driver, key):
-    res = compare(build_report(key, oracle_tables, spark), duck_driver, oracle_sql(key))
+    res = compare(build_report(key, oracle_tables, spark, as_of=AS_OF), duck_driver, oracle_sql(key))
     assert res["ok"], res
 
 
@@ -48,7 +49,7 @@ def edge_setup(spark, driver_tables, tmp_path_factory):
 @pytest.mark.parametrize("key", KEYS)
 def test_report_matches_oracle_on_edge_tables(spark, edge_setup, key):
     tables, con = edge_setup
-    res = compare(build_report(key, tables, spark), con, oracle_sql_posture(key))
+    res = compare(build_report(key, tables, spark, as_of=AS_OF), con, oracle_sql_posture(key))
     assert res["ok"], res
 
 

@@ -7,6 +7,7 @@ import re
 import pytest
 
 from postura import REPORTS, build_report
+from testsupport.driver_fixture import AS_OF
 
 # reports whose only nested-loop joins are single-row cross joins of global aggregates
 SINGLE_ROW_CROSS = {"image_inventory_stats", "license_stats"}
@@ -20,7 +21,7 @@ TOP_K_PER_KEY = {
 
 
 def _plan(spark, tables, key) -> str:
-    return build_report(key, tables, spark)._jdf.queryExecution().executedPlan().toString()
+    return build_report(key, tables, spark, as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("key", list(REPORTS))

@@ -202,3 +202,19 @@ def test_fix_age_same_date_with_only_one_newer_image(spark, driver_tables):
     assert (r.first_found_image, r.age_in_days, r.fixed, r.fixed_in_image, r.fix_image_date) == (
         "d:1", 20, True, "d:3", dt.date(2000, 1, 21)
     )
+
+
+def test_runtime_policy_entries_that_are_text_are_not_objects(spark):
+    policy = '{"enabled":true,"enforce":false,"exec_control":{"enabled":true},"off":{"enabled":false},"note":"{\\"enabled\\":true}","list":[1],"none":null,"n":1}'
+    frames = {"runtime_policies": spark.createDataFrame([("p", 1, "a", policy), ("q", 1, "a", None)], "name string, lastupdate long, author string, policy string")}
+    rows = run(spark, Tables.from_frames(frames), "policy_runtime_enabled")
+    assert [(r["control"], r["control_enabled"]) for r in rows] == [("exec_control", "true")]
+
+
+def test_top_ten_cuts_repositories(spark):
+    from testsupport.driver_fixture import posture_from_driver
+
+    tables = posture_from_driver(spark, "/root/testdata/sf0.01")
+    assert tables["registry_repositories"].count() > 10
+    for key in ("image_repo_scans", "image_ia_repo_results", "image_repo_vuln_severity_distribution"):
+        assert len(run(spark, tables, key)) == 10

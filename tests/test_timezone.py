@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from postura import Tables, build_report
+from testsupport.driver_fixture import AS_OF, posture_from_driver
 from testsupport.compare import compare, duck_connection
 from testsupport.oracles import oracle_sql
 
@@ -27,9 +28,9 @@ def test_time_reports_match_oracle_in_other_zones(spark, zone):
     con = duck_connection(SF_ORACLE)
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        tables = Tables.from_driver(spark, SF_ORACLE)
+        tables = posture_from_driver(spark, SF_ORACLE)
         for key in TIME_KEYS:
-            res = compare(build_report(key, tables, spark), con, oracle_sql(key))
+            res = compare(build_report(key, tables, spark, as_of=AS_OF), con, oracle_sql(key))
             assert res["ok"], (zone, key, res)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
