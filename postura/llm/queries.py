@@ -13,7 +13,7 @@ from postura.llm.common import cut, table
 from postura.llm.cover_tree import top_k
 from postura.llm.packing import cut_documents, pack
 from postura.llm.rotated_codes import approximate_nearest
-from postura.llm.secrets import BASE, scan, span_text
+from postura.llm.secrets import BASE, RULES, scan, span_text
 from postura.llm.sentencepieces import encode_decode
 from postura.llm.sharding import hilbert_shards
 from postura.llm.simhash import simhash_groups
@@ -110,4 +110,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+def _secrets_sql() -> str:
+    """Matches and the gaps between them give the places of the matches, as in the operator; every rule scans every text."""
+    parts = []
+    for order, rule in enumerate(RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT id, {order} AS ord, '{rule.kind}' AS kind, {rule.group} AS grp, {rule.least} AS least, '{pattern}' AS pattern,
+         regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS gaps
+  FROM docs""")
+    kinds = ", ".join(f"'{r.kind}'" for r in BASE)
+    text = "string_agg({0}kind || ':' || a || ':' || b, ',' ORDER BY a, ord) FILTER (WHERE {1})"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in BASE)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({" UNION ALL ".join(parts)}),
+each AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matches WHERE len(found) > 0),
+placed AS (
+  SELECT *, CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda g: length(g))), 0) AS BIGINT) AS a
+  FROM each
+  WHERE length(CASE WHEN grp = 0 THEN found[i] ELSE regexp_extract(found[i], '{BASE[0].pattern.replace("'", "''")}', 2) END) >= least
+),
+spans AS (SELECT id, ord, kind, a, a + length(found[i]) AS b FROM placed)
+SELECT doc_id, {counts}, sha256(coalesce({text.format("", f"kind IN ({kinds})")}, '')) AS base_sha256,
+       coalesce({text.format("", "kind IS NOT NULL")}, '') AS spans
+FROM docs LEFT JOIN spans USING (id)
+GROUP BY id, doc_id"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_cover_tree_topk": f"""
+WITH rows AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({TOP_K_SCALE} * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % {TOP_K_EVERY} = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {TOP_K}""",
+    "op3_secret_scan": _secrets_sql(),
+    # windows of REPEAT_WORDS = 20 words are put together from windows of 2, 4 and 8
+    "op8_substring_dedup": f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs),
+of2 AS (SELECT *, word || ' ' || lead(word) OVER o AS w2 FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+of4 AS (SELECT *, w2 || ' ' || lead(w2, 2) OVER o AS w4 FROM of2 WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+of8 AS (SELECT *, w4 || ' ' || lead(w4, 4) OVER o AS w8 FROM of4 WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+of20 AS (
+  SELECT doc_id, place AS s, w8 || ' ' || lead(w8, 8) OVER o || ' ' || lead(w4, 16) OVER o AS w20 FROM of8
+  WINDOW o AS (PARTITION BY doc_id ORDER BY place)
+),
+again AS (
+  SELECT doc_id, s FROM of20 WHERE w20 IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY w20 ORDER BY doc_id, s) > 1
+),
+gone AS (SELECT DISTINCT doc_id, s + k AS place FROM again, range({REPEAT_WORDS}) AS r(k)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)""",
+}
