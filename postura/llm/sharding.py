@@ -26,7 +26,7 @@ from postura.llm.common import cut
 
 BITS, DIMENSIONS = 3, 4
 LEVELS = 1 << BITS
-ROWS_A_GROUP = 100_000
+ROWS_A_GROUP = 10_000
 
 
 def hilbert_index(point: tuple[int, ...], bits: int) -> int:
@@ -97,7 +97,7 @@ def hilbert_shards(docs: DataFrame, shards: int, keep: tuple[str, ...] = ()) ->
     n, by_size, by_id = rows.agg(F.count(F.lit(1)), F.percentile_approx("size", eighths), F.percentile_approx("doc_id", eighths)).first()
     # hashes of equal rows are equal, so the order does not depend on the run
     hashed = F.xxhash64("doc_id", "size", "text_crc32")
-    groups = max(1, math.ceil(3 * n / ROWS_A_GROUP / 8))
+    groups = max(1, math.ceil(n / ROWS_A_GROUP))
     levels = [_level(F.col("size"), by_size), _level(F.col("doc_id"), by_id), F.col("_lang"), F.col("_source")]
     placed = rows.withColumn("_cell", _curve(levels)).withColumn("_hash", hashed).withColumn("_group", F.pmod(F.col("_hash"), F.lit(groups)))
     sizes = placed.groupBy("_cell", "_group").agg(F.count(F.lit(1)).alias("_n"))
