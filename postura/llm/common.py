@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +15,24 @@ from pyspark.sql import types as T
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package also where the driver was started in another folder. On a cluster the
+    package is installed or sent with --py-files; a path that a worker does not have does no harm."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables, read through Spark so that any file system works."""
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_text(docs: DataFrame) -> DataFrame:
     """(doc_id long, text string) only, so that no other column of the input can clash; null text stays null."""
+    reach_workers(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postura.llm.common import cut
+from postura.llm.common import cut, reach_workers
 
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 WORDS_AT_ONCE = 600_000
@@ -248,6 +248,7 @@ def substring_dedup(docs: DataFrame, least: int = 20, anchor: int = 8, carry: tu
     in ``carry``, prefixed ``doc_``."""
     if not 0 < anchor <= least:
         raise ValueError("an anchor has at least one word and at most as many as a repeat")
+    reach_workers(docs.sparkSession)
     text = F.col("text").cast("string")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *[F.col(c).alias(f"doc_{c}") for c in carry])
     keyed = base.select(F.coalesce("doc_id", F.lit(LAST)).alias("key"), F.xxhash64("text").alias("version"), "*")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postura.llm.common import id_text, map_batches
+from postura.llm.common import id_text, map_batches, reach_workers
 
 CACHE_ENTRIES = 400_000
 BLANKS = 500.0
@@ -174,6 +174,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
 
 def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, score) of every row, and the columns named in ``carry``, prefixed ``doc_``; the score is the softmax share of the toxic class."""
+    reach_workers(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"doc_{c}") for c in carry])
     carried = "".join(f", `doc_{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema.fields) if carry else ""
     # one number for each bucket: ``Fit.buckets`` doubles

@@ -7,9 +7,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postura.llm.common import reach_workers
+
 
 def finite_vectors(vectors: DataFrame, element: str) -> DataFrame:
     """(vec_id long, vector array<element>) of the rows whose vector is not null and holds no null or non-finite component."""
+    reach_workers(vectors.sparkSession)
     v = F.col("embedding").cast(f"array<{element}>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("vector"), bad.alias("_bad")).filter("vec_id is not null and vector is not null and not _bad").drop("_bad")
