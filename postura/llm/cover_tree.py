@@ -9,8 +9,8 @@ scale above. For a pair of a query node and a data node no score can exceed
 of the query node's queries. Pairs are visited by falling bound.
 
 On Spark: equal vectors are one point that keeps its k + 1 smallest ids, as a later copy can't be among the best k
-of any query but its own. Points are dealt to the nearest of a few pivots (a bounded sample), and from a pivot with
-many points to blocks by hash; a block has one tree, in one row. Each query block is first searched against its home block,
+of any query but its own. Points are dealt to the nearest of a few pivots (a bounded sample); pivots with few points share a block, those
+with many have several, dealt by hash. A block has one tree, in one row. Each query block is first searched against its home block,
 which gives every query a kth score to beat. The bound between the blocks' roots then tells
 which other blocks can hold better ones; only those pairs move. That is a join of a stated query set, in
 blocks, against blocks of all rows.
@@ -38,6 +38,7 @@ PIVOTS = 16
 BLOCK = 8192
 QUERY_BLOCK = 1024
 LEAF = 24
+NET_ROWS = 512
 EXACT = 2.0**53
 SCHEMA = "query_id long, rank int, vec_id long, score long"
 
@@ -54,47 +55,63 @@ class CoverTree:
         self.children: list[list[int]] = []
         order = np.arange(n)
 
+        squares = (points**2).sum(1)
+        # distances come from inner products; so much may rounding take from one
+        slack = 1e-6 * (1 + math.sqrt(float(squares.max(initial=0))))
+
         def add(at: int, end: int, center: int, far: np.ndarray) -> int:
             """Node over order[at:end]; far: their distances from its center."""
             node = len(self.center)
             self.center.append(center)
-            self.radius.append(float(far.max(initial=0)))
+            self.radius.append(float(far.max()) + slack if end - at > 1 else 0.0)
             self.first.append(at)
             self.last.append(end)
             self.children.append([])
             return node
 
-        def distances(to: int, rows: np.ndarray) -> np.ndarray:
-            d = points[rows] - points[to]
-            return np.sqrt(np.einsum("ij,ij->i", d, d))
+        def distances(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
+            d = squares[rows][:, None] + squares[centers] - 2 * (points[rows] @ points[centers].T)
+            return np.sqrt(np.maximum(d, 0))
+
+        def net(rows: np.ndarray, start: int, reach: float) -> np.ndarray:
+            """Centers among the rows, ``start`` first: each beyond ``reach`` of the others, every row within it of one."""
+            centers = np.array([start])
+            for at in range(0, len(rows), NET_ROWS):
+                some = rows[at : at + NET_ROWS]
+                left = some[distances(some, centers).min(1) > reach]
+                near = distances(left, left) <= reach
+                free, new = np.ones(len(left), bool), []
+                for i in range(len(left)):
+                    if free[i]:
+                        new.append(i)
+                        free &= ~near[i]
+                centers = np.r_[centers, left[new]]
+            return centers
 
         if n:
             middle = int(np.argmin(((points - points.mean(0)) ** 2).sum(1)))
-            stack = [add(0, n, middle, distances(middle, order))]
+            stack = [add(0, n, middle, distances(order, np.array([middle])))]
             while stack:
                 node = stack.pop()
-                at, end, reach = self.first[node], self.last[node], self.radius[node] / 2
-                if end - at <= LEAF or reach == 0:
+                at, end, reach = self.first[node], self.last[node], (self.radius[node] - slack) / 2
+                if end - at <= LEAF or reach <= slack:
                     continue
                 rows = order[at:end].copy()
-                # farthest-first centers: each lies beyond ``reach`` of those before it, until all points are covered
-                nearest, near = np.zeros(len(rows), np.int64), distances(self.center[node], rows)
-                centers = [self.center[node]]
-                while near.max() > reach:
-                    new = int(rows[np.argmax(near)])
-                    d = distances(new, rows)
-                    closer = d < near
-                    nearest[closer], near[closer] = len(centers), d[closer]
-                    centers.append(new)
+                centers = net(rows, self.center[node], reach)
+                nearest, near = np.empty(len(rows), np.int64), np.empty(len(rows))
+                for k in range(0, len(rows), NET_ROWS):
+                    d = distances(rows[k : k + NET_ROWS], centers)
+                    nearest[k : k + NET_ROWS], near[k : k + NET_ROWS] = d.argmin(1), d.min(1)
                 by = np.argsort(nearest, kind="stable")
                 order[at:end], far = rows[by], near[by]
                 sizes = np.bincount(nearest, minlength=len(centers))
                 begin = at
-                for center, size in zip(centers, sizes.tolist(), strict=True):
-                    child = add(begin, begin + size, center, far[begin - at : begin - at + size])
-                    self.children[node].append(child)
-                    stack.append(child)
-                    begin += size
+                for center, size in zip(centers.tolist(), sizes.tolist(), strict=True):
+                    if size:
+                        child = add(begin, begin + size, center, far[begin - at : begin - at + size])
+                        self.children[node].append(child)
+                        stack.append(child)
+                        begin += size
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.points = points[order]
@@ -232,19 +249,26 @@ def _pivoted(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return points.mapInArrow(run, f"{schema}, home long")
 
 
-def _blocked(points: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """``points`` with a block of ``size`` points or so, numbered from 0, and the number of blocks."""
+def _blocked(points: DataFrame, size: int) -> tuple[DataFrame, list[int]]:
+    """``points`` with a block of ``size`` points or so, numbered from 0, and the first block of each pivot.
+    Pivots with few points share a block; those with many have several, dealt by hash."""
     # one row for each pivot
     counts = {r["home"]: r["n"] for r in points.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}
-    first, total = [], 0
+    first, parts, total, room = [], [], 0, 0
     for home in range(PIVOTS):
-        parts = max(1, math.ceil(counts.get(home, 0) / size))
-        first.append((total, parts))
-        total += parts
-    starts, parts = (F.array(*[F.lit(f[i]) for f in first]) for i in (0, 1))
+        n = counts.get(home, 0)
+        if n > room:
+            parts.append(math.ceil(n / size))
+            first.append(total)
+            total, room = total + parts[-1], size - n if n <= size else 0
+        else:
+            parts.append(1)
+            first.append(max(0, total - 1))
+            room -= n
+    starts, many = (F.array(*map(F.lit, x)) for x in (first, parts))
     at = (F.col("home") + 1).cast("int")
-    block = F.element_at(starts, at) + F.pmod(F.xxhash64("vector"), F.element_at(parts, at))
-    return points.withColumn("block", block.cast("long")), total
+    block = F.element_at(starts, at) + F.pmod(F.xxhash64("vector"), F.element_at(many, at))
+    return points.withColumn("block", block.cast("long")), first
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024) -> DataFrame:
@@ -263,7 +287,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024)
     if not sample:
         return empty(spark, SCHEMA)
     pivots = matrix(pa.array([r["vector"] for r in sample], pa.list_(pa.int64())))
-    data, _ = _blocked(cut(_pivoted(points, pivots)), BLOCK)
+    data, first_blocks = _blocked(cut(_pivoted(points, pivots)), BLOCK)
     queries, _ = _blocked(cut(_pivoted(query_points.select("vector", F.array("query").alias("ids")), pivots)), QUERY_BLOCK)
     row = "block long, home long, tree binary, root array<double>, radius double"
     trees = cut(data.groupBy("block").applyInArrow(_plant("ids"), row))
@@ -272,23 +296,24 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024)
     )
     found = "query_block long, query long, score long, vec_id long"
     no_floor = F.expr("cast(null as array<struct<query:long,floor:long>>)")
-    first_block = trees.groupBy("home").agg(F.min("block").alias("block"))
-    at_home = query_trees.join(first_block, "home").join(trees.select("block", "tree"), "block")
-    # every query's own point is in its home pivot's blocks, so each query block meets one
+    # the first data block of a pivot of the query block's
+    query_trees = query_trees.withColumn("done", F.element_at(F.array(*map(F.lit, first_blocks)), (F.col("home") + 1).cast("int")).cast("long"))
+    at_home = query_trees.join(trees.select(F.col("block").alias("done"), "tree"), "done")
     home = cut(at_home.select("query_block", "query_tree", "tree", no_floor.alias("floors")).repartition("query_block").mapInArrow(_hunt(k + 1), found))
     kth = home.withColumn("n", F.row_number().over(Window.partitionBy("query_block", "query").orderBy(F.desc("score"), "vec_id"))).filter(F.col("n") == k + 1)
     floors = kth.groupBy("query_block").agg(F.collect_list(F.struct("query", F.col("score").alias("floor"))).alias("floors"), F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
     sizes = home.groupBy("query_block").agg(F.count_distinct("query").alias("queries"))
     floors = sizes.join(floors, "query_block", "left").withColumn("least", F.when(F.col("n") == F.col("queries"), F.col("least")))
     # every query block meets every data block by number: a list of numbers, not of vectors
-    blocks = trees.select("block", F.col("home").alias("block_home"), "root", "radius")
+    blocks = trees.select("block", "root", "radius")
     groups = max(1, trees.count())
     numbered = blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    met = query_trees.join(first_block.withColumnRenamed("block", "done"), "home", "left").join(floors, "query_block").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    # a query block without a home result has no floor and meets every block
+    met = query_trees.join(floors, "query_block", "left").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
     dot = F.aggregate(F.zip_with("query_root", "root", lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
     bound = dot + F.col("query_radius") * norm(F.col("root")) + F.col("radius") * norm(F.col("query_root")) + F.col("query_radius") * F.col("radius")
-    pairs = met.drop("query_tree", "queries", "n").join(numbered, "slot").filter("done is null or block <> done")
+    pairs = met.drop("query_tree", "queries", "n").join(numbered, "slot").filter("block <> done")
     pairs = pairs.filter(F.col("least").isNull() | (bound + F.abs(bound) * 1e-9 + 1e-6 >= F.col("least"))).select("query_block", "block", "floors")
     others = pairs.join(query_trees.select("query_block", "query_tree"), "query_block").join(trees.select("block", "tree"), "block")
     others = others.select("query_block", "query_tree", "tree", "floors").repartition("query_block", F.xxhash64("tree")).mapInArrow(_hunt(k + 1), found)
