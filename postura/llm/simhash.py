@@ -65,7 +65,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            prints = np.array([fingerprint(t or "", shingle) for t in batch.column(1).to_pylist()], np.uint64)
+            slices = (batch.column(1).slice(at, 256).to_pylist() for at in range(0, batch.num_rows, 256))
+            prints = np.array([fingerprint(t or "", shingle) for texts in slices for t in texts], np.uint64)
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fingerprint"])
 
         return each

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from postura.llm.common import cut, reach_workers
 
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
-WORDS_AT_ONCE = 600_000
+WORDS_AT_ONCE = 300_000
 ROWS_AT_ONCE = 200_000
 LAST = (1 << 63) - 1
 ROWS = "anchor long, run long, doc_id long, version long, start int, windows int"
@@ -138,17 +138,18 @@ def _sow(least: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, version, texts, held = [], [], [], 0
         for batch in batches:
-            for d, v, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = text.encode().split()
-                if len(words) < least:
-                    continue
-                doc.append(d)
-                version.append(v)
-                texts.append(words)
-                held += len(words)
-                if held >= WORDS_AT_ONCE:
-                    yield rows(doc, version, texts)
-                    doc, version, texts, held = [], [], [], 0
+            for at in range(0, batch.num_rows, 256):
+                for d, v, text in zip(*(c.slice(at, 256).to_pylist() for c in batch.columns), strict=True):
+                    words = text.encode().split()
+                    if len(words) < least:
+                        continue
+                    doc.append(d)
+                    version.append(v)
+                    texts.append(words)
+                    held += len(words)
+                    if held >= WORDS_AT_ONCE:
+                        yield rows(doc, version, texts)
+                        doc, version, texts, held = [], [], [], 0
         if texts:
             yield rows(doc, version, texts)
 
