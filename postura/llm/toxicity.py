@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from postura.llm.common import id_text, map_batches, reach_workers
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
+TEXTS_AT_ONCE = 256
+WORDS_AT_ONCE = 8192
 BLANKS = 500.0
 MOST = 1 / 64
 EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
@@ -47,10 +49,10 @@ class Fit:
     longest_text: int = 20_000
     buckets: int = 1 << 17
     width: int = 8
-    epochs: int = 10
-    batch: int = 128
+    epochs: int = 15
+    batch: int = 64
     rate: float = 0.02
-    decay: float = 0.001
+    decay: float = 0.002
     seed: int = 7
 
 
@@ -185,17 +187,17 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
         cache: dict[str, complex] = {}  # a word's sum of weights and number of features
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out, texts = [], batch.column(1).to_pylist()
-            for at in range(0, len(texts), 1024):
-                split = [(t or "").split() for t in texts[at : at + 1024]]
+            out = []
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                split = [(t or "").split() for t in batch.column(1).slice(at, TEXTS_AT_ONCE).to_pylist()]
                 if own.weights is None:
                     out += [0j] * len(split)
                     continue
                 if len(cache) > CACHE_ENTRIES:
                     cache.clear()
-                missing = {w for words in split for w in words if w not in cache}
-                if missing:
-                    new = list(missing)
+                missing = list({w for words in split for w in words if w not in cache})
+                for k in range(0, len(missing), WORDS_AT_ONCE):
+                    new = missing[k : k + WORDS_AT_ONCE]
                     buckets, n = features(new, len(own.weights))
                     sums = np.bincount(np.repeat(np.arange(len(new)), n), own.weights[buckets], len(new))
                     cache.update(zip(new, (sums + 1j * n).tolist(), strict=True))
