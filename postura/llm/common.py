@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,10 +37,13 @@ def id_text(docs: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; one of our own only where none is set, as in tests."""
+    """The folder that ``spark.checkpoint.dir`` names. Where none is set, a local session (as in tests) gets a folder
+    of its own; on a cluster that would be a folder of one machine, so it is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
@@ -56,6 +59,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def ranked(rows: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """``rows`` with their place (from 0) under ``order``, which must tell all rows apart or leave only equal ones together.
+
+    Ranges of the order go to partitions, their sizes give each range's first place, and a row adds its place in its
+    range. Only the sizes, one row a partition, meet in one task.
+    """
+    ranged = cut(rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *order).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    placed = ranged.withColumn("_own", own).join(F.broadcast(first), "_part")
+    return placed.withColumn(name, F.col("_first") + F.col("_own") - 1).drop("_part", "_own", "_first")
+
+
+def join_small(rows: DataFrame, small: DataFrame, on: list[str], most: int = 100_000) -> DataFrame:
+    """``rows`` joined with ``small``, which is broadcast if it is counted to have at most ``most`` rows."""
+    return rows.join(F.broadcast(small) if small.limit(most + 1).count() <= most else small, on)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` for a function that ``make`` builds once in each task."""
 
