@@ -1,54 +1,52 @@
 """Join on ``r.key = l.k1 OR r.key = l.k2 OR ...`` without a nested-loop join.
 
 A literal OR condition has no equi-join key, so Spark would plan a BroadcastNestedLoopJoin
-(every left row against every right row). Instead every left row is exploded over its
-distinct non-null keys and equi-joined to the right side. A right row equals at most one
-distinct key of a left row, so it matches that row exactly once, as under the OR.
+(every left row against every right row). Instead the join goes by keys first: the distinct non-null keys
+of the left rows, as narrow (row id, key) rows, are equi-joined to the right side, and the wide left rows
+are joined once to what was found, by their id. A right row equals at most one distinct key of
+a left row, so it matches that row exactly once, as under the OR.
 
-The exploded rows that found no partner are surplus: a left row keeps
-them only when none of its keys matched, and then exactly one of them. That decision is a
-window over the rows of one left row, so the left side is read once.
+The set of keys is known before the right side is read, so a right side that is itself built from
+a large fact can be restricted to it: pass a function of the keys.
+
+The left rows are needed twice, for their keys and for their columns. They are shuffled by id once, packed
+so that both uses read the same columns, and the second use is that shuffle again (ReusedExchange).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postura.operators.packing import pack, unpack
+
+
+def row_keys(left: DataFrame, row_id: str, keys: Sequence[Column]) -> DataFrame:
+    """(row id, ``key``): one row for each distinct non-null key of a row, as text."""
+    found = F.array_distinct(F.array_compact(F.array(*[k.cast("string") for k in keys])))
+    # an inner explode would put a filter on the keys below a shuffle that the row's other uses share
+    return left.select(row_id, F.explode_outer(found).alias("key")).where(F.col("key").isNotNull())
+
 
 def any_key_join(
     left: DataFrame,
+    row_id: str,
     keys: Sequence[Column],
-    right: DataFrame,
+    right: DataFrame | Callable[[DataFrame], DataFrame],
     right_key: str,
-    row_identity: Sequence[str] = (),
-    cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """``left LEFT JOIN right ON right.right_key IN (keys...)``; keys are compared as text.
 
-    Output: all left columns plus the right columns other than ``right_key``.
-
-    ``row_identity`` names left columns that, together with the keys,
-    identify a left row's exploded rows (rows with equal keys always match alike, so the keys
-    alone are enough; adding e.g. the primary key lets a later window reuse the partitioning).
-    ``cluster_by`` (a subset of ``row_identity``) is the hash partitioning applied before the
-    window, so a following window partitioned by the same columns needs no extra shuffle.
+    ``row_id`` names a non-null column that tells the left rows apart. ``right`` may be a function that takes
+    the distinct keys (one column, ``key``) and returns at least the right rows that have one of them.
+    Output: all left columns plus the right columns other than ``right_key``, partitioned by the row id.
     """
-    kcols = [f"__k{i}" for i in range(len(keys))]
-    tagged = left.select("*", *[k.cast("string").alias(c) for k, c in zip(keys, kcols)])
-    distinct_keys = F.array_distinct(F.array_compact(F.array(*kcols)))
-    exploded = tagged.select("*", distinct_keys.alias("__keys")).select(
-        "*", F.explode_outer("__keys").alias("__k")
-    )
-    r = right.select(F.col(right_key).alias("__rk"), *[c for c in right.columns if c != right_key])
-    r = r.where(F.col("__rk").isNotNull())
-    joined = exploded.join(r, F.col("__k") == F.col("__rk"), "left")
-    if cluster_by:
-        joined = joined.repartition(*cluster_by)
-    ident = [*row_identity, *kcols]
-    any_match = F.max(F.col("__rk").isNotNull().cast("int")).over(Window.partitionBy(*ident))
-    designated = F.col("__k").isNull() | (F.col("__k") == F.element_at("__keys", 1))
-    keep = F.col("__rk").isNotNull() | ((F.col("__any") == 0) & designated)
-    return joined.withColumn("__any", any_match).where(keep).drop(*kcols, "__keys", "__k", "__rk", "__any")
+    packed = pack(left, [row_id], row_id).repartition(row_id)
+    keyed = row_keys(unpack(packed, left.columns), row_id, keys)
+    rows = right(keyed.select("key").distinct()) if callable(right) else right
+    rows = rows.select(F.col(right_key).alias("__rk"), *[c for c in rows.columns if c != right_key])
+    found = keyed.join(rows, F.col("key") == F.col("__rk")).drop("key", "__rk").withColumnRenamed(row_id, "__id")
+    wide = unpack(packed, left.columns)
+    return wide.join(found, wide[row_id] == found["__id"], "left").drop("__id")

@@ -38,13 +38,25 @@ def container_default_failures(t: Tables) -> DataFrame:
     )
 
 
-def policy_failures(t: Tables) -> DataFrame:
-    """Failed assurance controls keyed by scan id (text), plus the containers' built-in
-    violations keyed by container id in the same text column."""
-    sar = t["scan_assurance_results"].where(F.col("failed") == F.lit(True))
-    ia = t["image_assurance"].select(F.col("id").alias("ia_id"), F.col("name").alias("failed_policy"))
+def scans_of_keys(t: Tables, keys: DataFrame | None) -> DataFrame:
+    """(s_id, failed_policy_type) of the scans, or of those whose id, as text, is among ``keys(key)``. The keys take the id's
+    own type before the join, so scans that lie bucketed by id are read as they lie."""
     sc = t["scans"].select(F.col("id").alias("s_id"), F.col("type").alias("failed_policy_type"))
-    assured = (
+    if keys is None:
+        return sc
+    typed = F.col("key").try_cast(sc.schema["s_id"].dataType)
+    # an outer explode of none or one id: a plain filter would move below the shuffle that the keys share with other uses
+    same = F.array_compact(F.array(F.when(typed.cast("string") == F.col("key"), typed)))
+    ids = keys.select(F.explode_outer(same).alias("k_id")).where(F.col("k_id").isNotNull())
+    return sc.join(ids, F.col("s_id") == F.col("k_id"), "left_semi")
+
+
+def assurance_failures(t: Tables, keys: DataFrame | None = None) -> DataFrame:
+    """Failed assurance controls of the scans, or of the scans among ``keys``, keyed by scan id (text)."""
+    sar = t["scan_assurance_results"].where(F.col("failed") == F.lit(True)).select("scan_id", "policy_id", "control")
+    ia = t["image_assurance"].select(F.col("id").alias("ia_id"), F.col("name").alias("failed_policy"))
+    sc = scans_of_keys(t, keys)
+    return (
         sar.join(sc, sar["scan_id"] == sc["s_id"])
         .join(ia, sar["policy_id"] == ia["ia_id"])
         .select(
@@ -54,7 +66,13 @@ def policy_failures(t: Tables) -> DataFrame:
             "failed_policy_type",
         )
     )
-    return assured.unionByName(container_default_failures(t))
+
+
+def policy_failures(t: Tables, keys: DataFrame | None = None) -> DataFrame:
+    """Failed assurance controls keyed by scan id (text), plus the containers' built-in
+    violations keyed by container id in the same text column. With ``keys`` (a distinct column ``key``) the assurance
+    fact only meets the scans among them: all that a join on these keys can use."""
+    return assurance_failures(t, keys).unionByName(container_default_failures(t))
 
 
 # ---------------------------------------------------------------- image vulnerability summaries

@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 
 from postura.functions import as_of_literal, avg_int, epoch_to_ts
 from postura.functions.vulns import SEVERITY_COLUMNS
-from postura.operators import any_key_join, splittable_side
+from postura.operators import any_key_join, distinct_counts, pack, row_keys, splittable_side, unpack
 from postura.plans.blocks import host_risk, image_risk, latest_image_vuln_summary, policy_failures
 from postura.plans.context import Ctx
 from postura.sources.tables import Tables
 
-_ATTRS = ("id", "image_name", "level1", "level2", "level3")
-
 
 def _running(t: Tables) -> DataFrame:
     return t["containers"].where(F.col("status") == "running")
@@ -23,46 +21,37 @@ def container_assurance_summary(t: Tables, ctx: Ctx) -> DataFrame:
     """Running containers with at least one failed control, per failed policy type and control.
 
     A container matches a failure when the failure's key equals the container's scan id, the
-    id of any scan of its image, or the container id. The image route depends on the image
-    only, so it is resolved per image first and then joined to the containers; every
-    aggregate is a distinct count, so the union of the routes gives the answer directly.
-    Both routes join the same failure relation on the same key column, so Spark shuffles the
-    failures (built from the largest fact table) once and reuses that exchange.
+    id of any scan of its image, or the container id. Keys come first: the containers' own and the scans
+    of the images they run, so that the assurance fact meets these scans only. The image
+    route depends on the image alone and is resolved per image. Both routes give (container,
+    type, control) rows; the containers' other columns are joined once, to the distinct ones. The containers
+    are shuffled by id once for all of this, and both routes read the same failures by the same key, so that
+    shuffle too is computed once and reused.
     """
-    pf = (
-        policy_failures(t)
+    columns = ["id", "scan_id", "oci_image_id", "image_name", "level1", "level2", "level3"]
+    packed = pack(_running(t).select(*columns), ["id"], "id").repartition("id")
+    own = row_keys(unpack(packed, columns), "id", [F.col("scan_id"), F.col("id")])
+    runs = row_keys(unpack(packed, columns), "id", [F.col("oci_image_id")]).withColumnRenamed("key", "docker_id")
+    used = runs.select("docker_id").distinct()
+    images = t["image_metadata"].select("image_id", "docker_id").join(used, "docker_id", "left_semi")
+    scans = t["scans"].where(F.col("image_id").isNotNull()).select("image_id", F.col("id").cast("string").alias("key"))
+    both = ["docker_id", "key"]
+    of_images = unpack(splittable_side(pack(images.join(scans, "image_id").select(*both), both)), both, both)
+
+    needed = own.select("key").union(of_images.select("key")).distinct()
+    failures = (
+        policy_failures(t, needed)
         .where(F.col("failed_control").isNotNull())
-        .select(F.col("scan_id").alias("key"), "failed_control", "failed_policy_type")
-    )
-    running = _running(t).select(*_ATTRS, "scan_id", "oci_image_id")
-
-    own_keys = F.array_distinct(F.array_compact(F.array(F.col("scan_id").cast("string"), F.col("id").cast("string"))))
-    own = running.select(*_ATTRS, F.explode(own_keys).alias("key")).join(pf, "key")
-
-    im = t["image_metadata"].select("image_id", "docker_id")
-    sc = t["scans"].where(F.col("image_id").isNotNull()).select("image_id", F.col("id").cast("string").alias("key"))
-    per_image = (
-        im.join(sc, "image_id")
-        .join(pf, "key")
-        .select("docker_id", "failed_policy_type", "failed_control")
-        .distinct()
-    )
-    via_image = running.join(per_image, running["oci_image_id"] == per_image["docker_id"])
-
-    cols = [*_ATTRS, "failed_policy_type", "failed_control"]
-    return (
-        own.select(*cols)
-        .unionByName(via_image.select(*cols))
-        .distinct()
-        .groupBy(F.col("failed_policy_type").alias("failed_control_type"), "failed_control")
-        .agg(
-            F.count_distinct("id").alias("container_count"),
-            F.count_distinct("image_name").alias("image_count"),
-            F.count_distinct("level1").alias("cluster_count"),
-            F.count_distinct("level2").alias("namespace_count"),
-            F.count_distinct("level3").alias("controller_count"),
-        )
+        .select(F.col("scan_id").alias("key"), "failed_control", F.col("failed_policy_type").alias("failed_control_type"))
     )
+    what = ["failed_control_type", "failed_control"]
+    per_image = of_images.join(failures, "key").select("docker_id", *what).distinct()
+    via_image = runs.join(per_image, "docker_id").select("id", *what)
+    found = own.join(failures, "key").select("id", *what).union(via_image).distinct()
+    rows = found.join(unpack(packed, ["id", "image_name", "level1", "level2", "level3"]), "id")
+    counted = {"image_count": "image_name", "cluster_count": "level1", "namespace_count": "level2", "controller_count": "level3"}
+    counts = distinct_counts(rows, what, counted, {"container_count": F.lit(1)})
+    return counts.select(*what, "container_count", *counted)
 
 
 def _container_vulns(t: Tables) -> DataFrame:
@@ -96,16 +85,12 @@ def container_vuln_list(t: Tables, ctx: Ctx) -> DataFrame:
 
 def container_ns_vuln_summary(t: Tables, ctx: Ctx) -> DataFrame:
     """Per namespace and controller: clusters, containers and images, and the rounded average
-    vulnerability counts of the containers' latest image scans."""
-    cv = _container_vulns(t)
+    vulnerability counts of the containers' latest image scans (one row a container)."""
+    cv = _container_vulns(t).withColumnsRenamed({"level2": "namespace", "level3": "controller"})
     cols = ("crit_vulns", "high_vulns", "med_vulns", "low_vulns", "neg_vulns", "total_vulns")
-    sums = [F.sum(c).alias(f"s_{c}") for c in cols] + [F.count(c).alias(f"n_{c}") for c in cols]
-    agg = cv.groupBy(F.col("level2").alias("namespace"), F.col("level3").alias("controller")).agg(
-        F.count_distinct("level1").alias("cluster_count"),
-        F.count_distinct("id").alias("container_count"),
-        F.count_distinct("docker_id").alias("image_count"),
-        *sums,
-    )
+    sums = {f"s_{c}": F.col(c) for c in cols} | {f"n_{c}": F.col(c).isNotNull().cast("int") for c in cols}
+    counts = {"cluster_count": "level1", "image_count": "docker_id"}
+    agg = distinct_counts(cv, ["namespace", "controller"], counts, {"container_count": F.lit(1), **sums})
     return agg.select(
         "namespace", "controller", "cluster_count", "container_count", "image_count",
         *[avg_int(f"s_{c}", f"n_{c}").alias(f"avg_{c}") for c in cols],
@@ -119,16 +104,13 @@ def containers_running_with_findings_list(t: Tables, ctx: Ctx) -> DataFrame:
     # one row per image / host; re-shuffled so a hot image or host of the containers can be split
     ir = splittable_side(image_risk(t))
     hr = splittable_side(host_risk(t))
-    base = c.join(ir, c["oci_image_id"] == ir["docker_id"], "left").join(hr, c["hostid"] == hr["host_id"], "left")
-    pf = policy_failures(t)
-    keyed = any_key_join(
-        base,
-        [F.col("scan_id"), F.col("ir_scan_id"), F.col("hr_scan_id"), F.col("id")],
-        pf,
-        "scan_id",
-        row_identity=["id"],
-        cluster_by=["id"],
+    c = c.select(
+        "id", "name", "image_name", "oci_image_id", "hostid", "scan_id", "registry_id", "level1", "level2", "level3", "level3_type",
+        "level4", "create_time", "audit_block_events", "audit_detect_events",
     )
+    base = c.join(ir, c["oci_image_id"] == ir["docker_id"], "left").join(hr, c["hostid"] == hr["host_id"], "left")
+    keys = [F.col("scan_id"), F.col("ir_scan_id"), F.col("hr_scan_id"), F.col("id")]
+    keyed = any_key_join(base, "id", keys, lambda needed: policy_failures(t, needed), "scan_id")
     entry_order = [
         F.col("failed_policy_type").asc_nulls_last(),
         F.col("failed_policy").asc_nulls_last(),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postura.functions import as_of_date, as_of_literal, avg_int, pct_label, vuln_score, vuln_severity
 from postura.functions.vulns import SEVERITY_COLUMNS
-from postura.operators import labelled_rows, month_spine, splittable_side, top_per_key
+from postura.operators import labelled_rows, month_spine, pack, splittable_side, top_per_key, unpack
 from postura.plans.blocks import image_vuln_distribution_rows
 from postura.plans.context import Ctx
 from postura.plans.hosts import subject_counts
@@ -134,18 +134,20 @@ def image_ia_repo_results(t: Tables, ctx: Ctx) -> DataFrame:
 
 
 def image_inventory_stats(t: Tables, ctx: Ctx) -> DataFrame:
-    """Six inventory figures as (metric, value) text rows: one aggregate per table, then
-    unpivoted."""
-    c = t["containers"].agg(
-        F.count_distinct(F.when(F.col("status") == "running", F.col("id"))).alias("running"),
-        F.count_distinct("oci_image_id").alias("images_in_containers"),
-    )
-    ri = t["registry_images"].agg(
-        F.count_distinct("registry_id").alias("registries"),
-        F.count_distinct("repository_id").alias("repositories"),
-        F.count_distinct("id").alias("images"),
+    """Six inventory figures as (metric, value) text rows. Each distinct count is an aggregate of its own over
+    one column, reduced map-side: a columnar table is read no more than once in all, and no row is repeated."""
+
+    def distinct(table: DataFrame, column: str, name: str) -> DataFrame:
+        return table.agg(F.count_distinct(column).alias(name))
+
+    c, ri = t["containers"], t["registry_images"]
+    one = (
+        distinct(c.where(F.col("status") == "running"), "id", "running")
+        .crossJoin(distinct(c, "oci_image_id", "images_in_containers"))
+        .crossJoin(distinct(ri, "registry_id", "registries"))
+        .crossJoin(distinct(ri, "repository_id", "repositories"))
+        .crossJoin(distinct(ri, "id", "images"))
     )
-    one = c.crossJoin(ri)
     txt = lambda name: F.col(name).cast("string")
     return labelled_rows(
         one,
@@ -223,47 +225,96 @@ def image_vulns_distribution(t: Tables, ctx: Ctx) -> DataFrame:
 
 
 def _repo_images(t: Tables) -> DataFrame:
-    """Images of existing repositories that have metadata, with their creation date."""
-    ri = t["registry_images"].select(
+    """Images that have metadata, with repository and creation date; one row an image, packed, as both
+    the findings and the picks are made from it."""
+    ri = t["registry_images"].where(F.col("repository_id").isNotNull()).select(
         F.col("id").alias("image_id"),
         F.to_date("created").alias("create_date"),
         F.col("repository_id").alias("repo_id"),
         F.col("name").alias("image_name"),
     )
-    im = t["image_metadata"].select("image_id")
-    rr = t["registry_repositories"].select(F.col("id").alias("repo_id"))
-    return ri.join(rr, "repo_id", "left_semi").join(im, "image_id")
+    return splittable_side(pack(ri.join(t["image_metadata"].select("image_id"), "image_id", "left_semi"), ["image_id", "repo_id"]))
 
 
-def _repo_vuln_facts(t: Tables, dim: DataFrame) -> DataFrame:
+_IMAGE = ("image_id", "create_date", "repo_id", "image_name")
+_VULN = ("vuln_id", "resource_id", "vuln_name")
+_VULN_DETAIL = ("resource_name", "resource_version", "vuln_severity", "vuln_score", "fix_version")
+
+
+def _vulnerabilities(t: Tables, ctx: Ctx, detail: bool) -> DataFrame:
+    """Vulnerabilities of known resources, packed; with what the detail report prints of them if asked for."""
+    krv = t["known_resource_vulnerabilities"].where(F.col("issue_type") == "vulnerability")
+    columns = [F.col("id").alias("vuln_id"), "resource_id", F.col("name").alias("vuln_name")]
+    kr = t["known_resources"].select(F.col("id").alias("resource_id"), F.col("name").alias("resource_name"), F.col("version").alias("resource_version"))
+    if not detail:
+        return splittable_side(pack(krv.select(*columns).join(kr.select("resource_id"), "resource_id", "left_semi"), _VULN[:2]))
+    columns += [vuln_severity("", ctx.severity_fn).alias("vuln_severity"), vuln_score().alias("vuln_score"), "fix_version"]
+    return splittable_side(pack(krv.select(*columns).join(kr, "resource_id").select(*_VULN, *_VULN_DETAIL), _VULN[:2]))
+
+
+def _repo_vuln_facts(t: Tables, dim: DataFrame, vulns: DataFrame) -> DataFrame:
     """Per (repository, vulnerability name): lowest vulnerability id and the first and last
     creation date of the scanned images affected.
 
-    Scan rows are first reduced to (repository, resource) date ranges, so the big image-scan
-    x resource bridge is aggregated before it meets the vulnerability table; min/max are
+    The image scans meet their resources first, both by scan id (no shuffle where a snapshot lies bucketed by it), and are
+    reduced to (repository, resource) date ranges before they meet the vulnerabilities; min/max are
     unaffected by that reduction.
     """
-    sc = t["scans"].where(F.col("type") == "image").select(F.col("id").alias("scan_id"), "image_id")
+    sc = t["scans"].where((F.col("type") == "image") & F.col("image_id").isNotNull()).select(F.col("id").alias("scan_id"), "image_id")
     sr = t["scan_resources"].select("scan_id", "resource_id")
     per_resource = (
-        splittable_side(dim)
-        .join(sc, "image_id")
-        .join(sr, "scan_id")
+        sc.join(sr, "scan_id")
+        .select("image_id", "resource_id")
+        .join(unpack(dim, ["image_id", "repo_id", "create_date"], ["image_id", "repo_id"]), "image_id")
         .groupBy("repo_id", "resource_id")
         .agg(F.min("create_date").alias("lo"), F.max("create_date").alias("hi"))
     )
-    kr = t["known_resources"].select(F.col("id").alias("resource_id"))
-    krv = (
-        t["known_resource_vulnerabilities"]
-        .where(F.col("issue_type") == "vulnerability")
-        .select(F.col("id").alias("vuln_row_id"), "resource_id", F.col("name").alias("vuln_name"))
-        .join(kr, "resource_id", "left_semi")
-    )
     return (
-        # the semi join has left the vulnerabilities in place by resource; a resource found in every repository stays splittable
-        per_resource.join(splittable_side(krv), "resource_id")
+        per_resource.join(unpack(vulns, _VULN, _VULN[:2]), "resource_id")
         .groupBy("repo_id", "vuln_name")
-        .agg(F.min("vuln_row_id").alias("vuln_id"), F.min("lo").alias("min_date"), F.max("hi").alias("max_date"))
+        .agg(F.min("vuln_id").alias("vuln_id"), F.min("lo").alias("min_date"), F.max("hi").alias("max_date"))
+        .where(F.col("min_date").isNotNull())
+    )
+
+
+def _repo_picks(t: Tables, dim: DataFrame) -> DataFrame:
+    """One row per repository: its days (``days``, and beside them in ``picks`` the lowest and the highest image of each
+    day), its newest image (``top``: date DESC NULLS FIRST, id DESC) and its second-newest dated one.
+
+    The images are reduced to one row per repository and day, then to one per repository with at most as many
+    entries as there are days since its first image. The second-newest image comes from a top-2 that is
+    limited ahead of the shuffle.
+    """
+    image = F.struct("image_id", "image_name")
+    rows = unpack(dim, _IMAGE, ["image_id", "repo_id"])
+    per_day = rows.groupBy("repo_id", "create_date").agg(F.min(image).alias("lowest"), F.max(image).alias("highest"))
+    dated = F.col("create_date").isNotNull()
+    per_repo = per_day.groupBy("repo_id").agg(
+        F.collect_list(F.when(dated, F.struct("create_date", "lowest", "highest"))).alias("days"),
+        F.max(F.when(dated, F.struct("create_date", "highest"))).alias("newest"),
+        F.max(F.when(~dated, F.col("highest"))).alias("undated"),
+    )
+    second = (
+        top_per_key(
+            rows, ["repo_id"], [F.col("create_date").desc_nulls_last(), F.col("image_id").desc()], k=2, rank_col="rk"
+        )
+        .where((F.col("rk") == 2) & dated)
+        .select("repo_id", F.col("image_id").alias("second_id"), F.col("create_date").alias("second_date"), F.col("image_name").alias("second_name"))
+    )
+    top = F.coalesce("undated", "newest.highest")
+    rr = t["registry_repositories"].select(F.col("id").alias("repo_id"), F.col("registry_id").alias("registry"), F.col("name").alias("repo_name"))
+    return (
+        per_repo.join(second, "repo_id", "left")
+        .join(rr, "repo_id")
+        .select(
+            "repo_id", "registry", "repo_name",
+            F.col("days.create_date").alias("days"),
+            F.transform("days", lambda d: F.struct(d["lowest"].alias("lowest"), d["highest"].alias("highest"))).alias("picks"),
+            top["image_id"].alias("top_id"),
+            F.when(F.col("undated").isNull(), F.col("newest.create_date")).alias("top_date"),
+            top["image_name"].alias("top_name"),
+            "second_id", "second_date", "second_name",
+        )
     )
 
 
@@ -275,54 +326,28 @@ def _repo_vulns(t: Tables, ctx: Ctx, detail: bool) -> DataFrame:
     last date; top = newest image (date DESC NULLS FIRST, id DESC); next = the second-newest
     image with a date after the first date, else top. The second is the rank-2 image among
     dated images: dated images after the first date are a prefix of that order.
-    """
-    dim = _repo_images(t)
-    facts = _repo_vuln_facts(t, dim)
 
-    by_date = dim.where(F.col("create_date").isNotNull()).groupBy("repo_id", "create_date").agg(
-        F.min(F.struct("image_id", "image_name")).alias("lowest"),
-        F.max(F.struct("image_id", "image_name")).alias("highest"),
-    )
-    first = by_date.select(
-        "repo_id",
-        F.col("create_date").alias("min_date"),
-        F.col("lowest.image_id").alias("first_id"),
-        F.col("lowest.image_name").alias("first_name"),
-    )
-    last = by_date.select(
-        "repo_id",
-        F.col("create_date").alias("max_date"),
-        F.col("highest.image_id").alias("last_id"),
-        F.col("highest.image_name").alias("last_name"),
-    )
-    top = (
-        top_per_key(dim, ["repo_id"], [F.col("create_date").desc_nulls_first(), F.col("image_id").desc()], k=1)
-        .select("repo_id", F.col("image_id").alias("top_id"), F.col("create_date").alias("top_date"),
-                F.col("image_name").alias("top_name"))
-    )
-    second = (
-        top_per_key(
-            dim.where(F.col("create_date").isNotNull()),
-            ["repo_id"],
-            [F.col("create_date").desc(), F.col("image_id").desc()],
-            k=2,
-            rank_col="rk",
-        )
-        .where(F.col("rk") == 2)
-        .select("repo_id", F.col("image_id").alias("second_id"), F.col("create_date").alias("second_date"),
-                F.col("image_name").alias("second_name"))
-    )
-    rr = t["registry_repositories"].select(
-        F.col("id").alias("repo_id"), F.col("registry_id").alias("registry"), F.col("name").alias("repo_name")
-    )
-    # one row per repository: newest image, second-newest dated image, registry and name
-    per_repo = top.join(second, "repo_id", "left").join(rr, "repo_id")
-    # each small side is rebalanced so a repository holding a third of the facts stays splittable
-    j = (
-        facts.join(splittable_side(first), ["repo_id", "min_date"])
-        .join(splittable_side(last), ["repo_id", "max_date"])
-        .join(splittable_side(per_repo), "repo_id")
-    )
+    All images come from one relation, which is shuffled once: the findings join it on the image, the picks
+    are aggregated from it, and the findings join the picks once, by repository. A repository has at
+    most one finding for each vulnerability name, so no repository is hot in that join.
+    """
+    dim, vulns = _repo_images(t), _vulnerabilities(t, ctx, detail)
+    facts = _repo_vuln_facts(t, dim, vulns)
+    picked = facts.join(_repo_picks(t, dim), "repo_id")
+
+    def pick(day: str, which: str) -> Column:
+        return F.get("picks", (F.array_position("days", F.col(day)) - 1).cast("int"))[which]
+
+    j = picked.select(
+        "repo_id", "vuln_name", "vuln_id", "min_date", "max_date", "registry", "repo_name",
+        "top_id", "top_date", "top_name", "second_id", "second_date", "second_name",
+        pick("min_date", "lowest").alias("first"),
+        pick("max_date", "highest").alias("last"),
+    ).select(
+        "*",
+        F.col("first.image_id").alias("first_id"), F.col("first.image_name").alias("first_name"),
+        F.col("last.image_id").alias("last_id"), F.col("last.image_name").alias("last_name"),
+    ).drop("first", "last")
     use_second = F.col("second_date") > F.col("min_date")
     next_id = F.when(use_second, F.col("second_id")).otherwise(F.col("top_id"))
     next_date = F.when(use_second, F.col("second_date")).otherwise(F.col("top_date"))
@@ -340,18 +365,7 @@ def _repo_vulns(t: Tables, ctx: Ctx, detail: bool) -> DataFrame:
     j = j.select("*", age.alias("age_in_days"), fixed.alias("fixed"))
     if not detail:
         return j
-    kr = t["known_resources"].select(
-        F.col("id").alias("k_resource_id"), F.col("name").alias("resource_name"), F.col("version").alias("resource_version")
-    )
-    krv = t["known_resource_vulnerabilities"]
-    vd = krv.join(kr, krv["resource_id"] == kr["k_resource_id"]).select(
-        F.col("id").alias("vuln_id"),
-        "resource_name",
-        "resource_version",
-        vuln_severity("", ctx.severity_fn).alias("vuln_severity"),
-        vuln_score().alias("vuln_score"),
-        "fix_version",
-    )
+    vd = unpack(vulns, ["vuln_id", *_VULN_DETAIL], ["vuln_id"])
     fixed_in = F.when(is_top, F.lit("")).when(same_date, next_name).otherwise(F.col("last_name"))
     fix_date = F.when(is_top, F.lit(None).cast("date")).when(same_date, next_date).otherwise(F.col("max_date"))
     return j.join(vd, "vuln_id").select(

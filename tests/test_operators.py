@@ -7,7 +7,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from postura.operators import any_key_join, labelled_rows, month_spine, top_per_key
+from postura.operators import any_key_join, distinct_counts, labelled_rows, month_spine, top_per_key
 
 
 def _left(spark):
@@ -17,9 +17,9 @@ def _left(spark):
         ("c3", "99", None, None),  # no match: kept once with NULLs
         ("c4", None, None, None),  # no keys at all: kept once with NULLs
         ("c5", "12", "10", "c5"),
-        ("c5", "12", "10", "c5"),  # duplicate left row: each copy matches on its own
+        ("c5", "12", "10", "c5"),  # equal but for its number: each copy matches on its own
     ]
-    return spark.createDataFrame(rows, "id string, k1 string, k2 string, k3 string")
+    return spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "n int, id string, k1 string, k2 string, k3 string")
 
 
 def _right(spark):
@@ -42,16 +42,39 @@ def _brute(left, right):
 def test_any_key_join_matches_or_semantics(spark):
     left, right = _left(spark), _right(spark)
     keys = [F.col("k1"), F.col("k2"), F.col("k3")]
-    got = Counter((r.id, r.v) for r in any_key_join(left, keys, right, "key", row_identity=["id"], cluster_by=["id"]).collect())
+    got = Counter((r.id, r.v) for r in any_key_join(left, "n", keys, right, "key").collect())
     assert got == _brute(left.collect(), right.collect())
 
 
+def test_any_key_join_restricts_its_right_side(spark):
+    left, right, seen = _left(spark), _right(spark), []
+
+    def restricted(keys):
+        seen.append(keys)
+        return right.join(keys, "key", "left_semi")
+
+    out = any_key_join(left, "n", [F.col("k1"), F.col("k2"), F.col("k3")], restricted, "key")
+    assert out.columns == ["n", "id", "k1", "k2", "k3", "v"]
+    assert Counter((r.id, r.v) for r in out.collect()) == _brute(left.collect(), right.collect())
+    assert sorted(r.key for r in seen[0].collect()) == ["10", "11", "12", "99", "c5"]
+
+
 def test_any_key_join_plans_no_nested_loop(spark):
-    df = any_key_join(_left(spark), [F.col("k1"), F.col("k2")], _right(spark), "key")
+    df = any_key_join(_left(spark), "n", [F.col("k1"), F.col("k2")], _right(spark), "key")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_distinct_counts_against_count_distinct(spark):
+    rows = [(i % 3 if i % 7 else None, f"a{i % 5}" if i % 4 else None, i % 11 if i % 6 else None, i if i % 10 else None) for i in range(200)] + [(9, None, None, None)]
+    df = spark.createDataFrame(rows, "k int, a string, b int, x int")
+    got = distinct_counts(df, ["k"], {"n_a": "a", "n_b": "b"}, {"s": F.col("x"), "n": F.lit(1)})
+    want = df.groupBy("k").agg(F.count_distinct("a").alias("n_a"), F.count_distinct("b").alias("n_b"), F.sum("x").alias("s"), F.count(F.lit(1)).alias("n"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert "Expand [" not in got._jdf.queryExecution().executedPlan().toString()
+    assert distinct_counts(df.limit(0), ["k"], {"n_a": "a"}, {"n": F.lit(1)}).collect() == []
+
+
 def test_top_per_key_desc_nulls_first_and_tiebreak(spark):
     rows = [
         ("a", dt.datetime(2001, 1, 1), 1),

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pytest
 
-from postura import REPORTS, build_report
+from postura import REPORTS, Tables, build_report
 from testsupport.driver_fixture import AS_OF
 
 # reports whose only nested-loop joins are single-row cross joins of global aggregates
@@ -33,7 +34,7 @@ def test_no_python_and_no_unbounded_nested_loops(spark, driver_tables, key):
         assert "NestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("key,joins", [("image_inventory_stats", 1), ("license_stats", 2)])
+@pytest.mark.parametrize("key,joins", [("image_inventory_stats", 4), ("license_stats", 2)])
 def test_cross_joins_only_between_global_aggregates(spark, driver_tables, key, joins):
     plan = _plan(spark, driver_tables, key)
     assert plan.count("BroadcastNestedLoopJoin") == joins
@@ -56,12 +57,70 @@ def test_filters_and_columns_reach_the_scan(spark, driver_tables):
     assert "o_totalprice" not in orders and "o_orderpriority" not in orders
 
 
-def test_one_shuffle_serves_both_container_windows(spark, driver_tables):
+def _executed(df) -> str:
+    """The final plan of an executed query, without the plan it started from."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    for n, v in old.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+@pytest.fixture(scope="module")
+def stored_tables(spark, driver_tables, tmp_path_factory):
+    """The posture tables as files of their own, so that a plan's scans name them."""
+    root = tmp_path_factory.mktemp("stored")
+    for name in driver_tables.names():
+        driver_tables[name].write.parquet(str(root / name))
+    return Tables.from_parquet(spark, str(root))
+
+
+def _scans(plan: str) -> Counter:
+    return Counter(re.findall(r"FileScan parquet .*?/stored\d*/(\w+)\]", plan))
+
+
+@pytest.mark.parametrize("key", ["image_vuln_fix_age_summary", "vuln_fix_age_detail"])
+def test_fix_age_reads_each_table_once(spark, stored_tables, no_broadcast, key):
+    scans = _scans(_executed(build_report(key, stored_tables, spark, as_of=AS_OF)))
+    assert set(scans.values()) == {1} and len(scans) == 7, scans
+
+
+@pytest.mark.parametrize(
+    "key,reads",
+    [("container_assurance_summary", {"scan_assurance_results": 1, "scans": 2}), ("containers_running_with_findings_list", {"scan_assurance_results": 1, "scans": 3})],
+)
+def test_keys_restrict_the_scans_before_the_assurance_fact(spark, stored_tables, no_broadcast, key, reads):
+    df = build_report(key, stored_tables, spark, as_of=AS_OF)
+    plan = _executed(df)
+    scans = _scans(plan)
+    assert {t: scans[t] for t in reads} == reads and scans["containers"] == 2, scans
+    # the side that meets the fact by scan id is a semi join of scans with the needed keys
+    optimised = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(optimised) if re.search(r"Join Inner, \(scan_id#\d+L? = s_id#\d+L?\)", line))
+    depth = len(re.match(r"[\s:+-]*", optimised[at]).group())
+    sides = "\n".join(line for line in optimised[at + 1 :] if len(re.match(r"[\s:+-]*", line).group()) > depth)
+    assert re.search(r"Join LeftSemi, \(\w+#\d+L? = k_id#\d+L?\)", sides)
+
+
+@pytest.mark.parametrize("key", list(REPORTS))
+def test_no_row_is_repeated_for_distinct_counts(spark, driver_tables, key):
+    assert not re.search(r"\bExpand \[", _plan(spark, driver_tables, key))
+
+
+def test_container_window_needs_no_shuffle_of_its_own(spark, driver_tables, no_broadcast):
     plan = _plan(spark, driver_tables, "containers_running_with_findings_list")
     top = plan.split("SortMergeJoin")[0]
-    # the surplus-row window and the container_entry window sit on one repartition by container id
-    assert len(re.findall(r"Exchange hashpartitioning", top)) == 1
-    assert len(re.findall(r"\bWindow \[", top)) == 2
+    # container_entry is numbered where the wide rows met their failures by container id
+    assert len(re.findall(r"Exchange hashpartitioning", top)) == 0
+    assert len(re.findall(r"\bWindow \[", top)) == 1
 
 
 def test_scan_fact_is_aggregated_before_host_joins(spark, driver_tables):

@@ -70,11 +70,11 @@ keys = st.one_of(st.none(), st.sampled_from(["1", "2", "3", "4", "c1", "c2"]))
     right=st.lists(st.tuples(keys, st.integers(0, 5)), min_size=0, max_size=12),
 )
 def test_any_key_join_matches_brute_force(spark, left, right):
-    ldf = spark.createDataFrame(left, "id string, k1 string, k2 string, k3 string")
+    ldf = spark.createDataFrame([(*l, n) for n, l in enumerate(left)], "id string, k1 string, k2 string, k3 string, n int")
     rdf = spark.createDataFrame(right, "key string, v int")
     got = Counter(
         tuple(r)
-        for r in any_key_join(ldf, [F.col("k1"), F.col("k2"), F.col("k3")], rdf, "key", row_identity=["id"])
+        for r in any_key_join(ldf, "n", [F.col("k1"), F.col("k2"), F.col("k3")], rdf, "key")
         .select("id", "k1", "k2", "k3", "v")
         .collect()
     )
