@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,6 +46,12 @@ def default_severity(krv: str = "") -> Column:
 SeverityFn = Callable[[str], Column]
 
 
+def catalog_severity(function: str, arguments: Sequence[str]) -> SeverityFn:
+    """A severity rule kept in the catalogue: ``function`` (any SQL or other scalar function the session can resolve) of
+    the named vulnerability columns. A SQL function (``CREATE FUNCTION ... RETURN ...``) becomes part of the plan."""
+    return lambda krv: F.call_function(function, *[F.col(krv + a) for a in arguments])
+
+
 def vuln_severity(krv: str = "", severity_fn: SeverityFn = default_severity) -> Column:
     """NVD CVSS3 severity when only it is present, else ``severity_fn`` of the same row."""
     nvd = F.col(krv + "nvd_cvss3_severity").cast("string")

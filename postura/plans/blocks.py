@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postura.functions import epoch_to_ts, json_array_text, json_text, total_vulns
 from postura.functions.vulns import SEVERITY_COLUMNS
-from postura.operators import first_per_key, labelled_rows, splittable_side
+from postura.operators import first_per_key, labelled_rows, pack, splittable_side, unpack
 from postura.sources.tables import Tables
 
 
@@ -17,6 +17,11 @@ def scan_order(date_col: str = "scan_date", id_col: str = "id") -> list[Column]:
     return [F.col(date_col).desc_nulls_first(), F.col(id_col).desc_nulls_last()]
 
 
+# names under which a run may hand over a block that it has written (see ``plans.shared``)
+FAILURES = "block_assurance_failures"
+VULN_SUMMARY = "block_latest_image_vuln_summary"
+
+
 # ---------------------------------------------------------------- policy failures
 
 
@@ -53,6 +58,9 @@ def scans_of_keys(t: Tables, keys: DataFrame | None) -> DataFrame:
 
 def assurance_failures(t: Tables, keys: DataFrame | None = None) -> DataFrame:
     """Failed assurance controls of the scans, or of the scans among ``keys``, keyed by scan id (text)."""
+    if FAILURES in t:
+        written = t[FAILURES]
+        return written if keys is None else written.join(keys.withColumnRenamed("key", "scan_id"), "scan_id", "left_semi")
     sar = t["scan_assurance_results"].where(F.col("failed") == F.lit(True)).select("scan_id", "policy_id", "control")
     ia = t["image_assurance"].select(F.col("id").alias("ia_id"), F.col("name").alias("failed_policy"))
     sc = scans_of_keys(t, keys)
@@ -83,6 +91,8 @@ def latest_image_vuln_summary(t: Tables) -> DataFrame:
     scan and image id). A container's pick depends only on its image, so the scans are reduced to one
     per image before any join (a partial limit ahead of the shuffle, so a hot image costs one row
     a task), and then to one per docker id."""
+    if VULN_SUMMARY in t:
+        return t[VULN_SUMMARY]
     sc = t["scans"].where((F.col("type") == "image") & F.col("image_id").isNotNull()).select(
         F.col("id").alias("scan_id"), "image_id", "scan_date", *SEVERITY_COLUMNS
     )
@@ -262,21 +272,29 @@ _BENCH_SECTIONS = (
 )
 
 
-def bench_results(t: Tables) -> DataFrame:
-    """Host benchmark documents flattened to host x section x test rows. Two document shapes:
+_BENCH_DOCUMENT = ("scan_date", "host_id", "category", "config_file", "sections")
+
+
+def bench_documents(t: Tables) -> DataFrame:
+    """Host benchmark documents, each parsed once and packed, as several relations are made from them. Two document shapes:
     ``result.Controls[0].tests`` and ``result.tests.results``."""
-    hs = t["host_scan"]
     sections_json = F.coalesce(json_text("data", "result", "Controls", 0, "tests"), json_text("data", "result", "tests", "results"))
-    category = F.when(F.col("test_type").cast("string") == "cis", F.lit("dockerbench")).otherwise(
-        F.col("test_type").cast("string")
-    )
-    sec = hs.select(
+    test_type = F.col("test_type").cast("string")
+    documents = t["host_scan"].select(
         epoch_to_ts("lastupdate").alias("scan_date"),
         F.col("host_id").cast("string").alias("host_id"),
-        category.alias("category"),
+        F.when(test_type == "cis", F.lit("dockerbench")).otherwise(test_type).alias("category"),
         F.col("config_file_name").cast("string").alias("config_file"),
-        F.explode(F.from_json(sections_json, _BENCH_SECTIONS)).alias("s"),
+        F.from_json(sections_json, _BENCH_SECTIONS).alias("sections"),
     )
+    return splittable_side(pack(documents, ["host_id"]))
+
+
+def bench_results(documents: DataFrame) -> DataFrame:
+    """Benchmark documents flattened to host x section x test rows."""
+    rows = unpack(documents, _BENCH_DOCUMENT, ["host_id"])
+    # an inner explode would filter on the sections below the shuffle, where they would be parsed once more
+    sec = rows.select("scan_date", "host_id", "category", "config_file", F.explode_outer("sections").alias("s")).where(F.col("s").isNotNull())
     tests = sec.select("*", F.explode(F.col("s.results")).alias("tst"))
     status = F.col("tst.status")
     return tests.select(

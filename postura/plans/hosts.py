@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postura.functions import avg_int, month_key, pct_label, round_ratio, vuln_score, vuln_severity
 from postura.functions.vulns import SEVERITY_COLUMNS
 from postura.operators import month_spine, splittable_side
-from postura.plans.blocks import bench_results, first_scans, host_cloud, host_tags, scan_totals_per_host
+from postura.plans.blocks import bench_documents, bench_results, first_scans, host_cloud, host_tags, scan_totals_per_host
 from postura.plans.context import Ctx
 from postura.sources.tables import Tables
 
@@ -226,10 +226,11 @@ def host_bench_results_details(t: Tables, ctx: Ctx) -> DataFrame:
 
     The three levels are additive, so they are computed as one aggregate per
     (host, category, section), rolled up to category and host, and joined back once. A host
-    with many tests is aggregated map-side instead of being sorted in one window task. As in
+    with many tests is aggregated map-side instead of being sorted in one window task. The rows and the totals
+    come from documents that are read, parsed and shuffled once. As in
     the source, a NULL category or section matches no totals.
     """
-    br = bench_results(t)
+    br = bench_results(bench_documents(t))
     hosts = t["hosts"].select(F.col("id").alias("host_id"))
     known = br.join(hosts, "host_id")
 

@@ -27,6 +27,16 @@ OPERATIONAL_TABLES = (
 AUDIT_TABLES = ("audit",)
 POSTURE_TABLES = OPERATIONAL_TABLES + AUDIT_TABLES
 
+# tables that grow with scans and events, and the numeric column by which each is read in slices
+FACT_TABLES: dict[str, str] = {
+    "scans": "id",
+    "scan_history": "id",
+    "scan_assurance_results": "scan_id",
+    "scan_resources": "scan_id",
+    "known_resource_vulnerabilities": "id",
+    "audit": "id",
+}
+
 COLUMNS: dict[str, tuple[str, ...]] = {
     "scans": ("id", "type", "image_id", "host_id", "scan_date", "malware", "sensitive",
               "crit_vulns", "high_vulns", "med_vulns", "low_vulns", "neg_vulns"),

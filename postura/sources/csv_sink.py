@@ -1,6 +1,7 @@
-"""CSV sink: one header-first CSV output per report.
+"""CSV sink: one header-first CSV output per report, as one file or as a folder of parts.
 
-Executors write the part files in parallel; nothing is collected to the driver. The path may
+Executors write the part files in parallel; no row is collected to the driver or gathered in one task. One file is
+put together from a header and headerless parts by the file system (``files.Files.join``). The path may
 be local, HDFS or an object store (``s3a://bucket/<env>-<timestamp>/``), which replaces the
 separate upload step of the source tool. NULL and the empty string are both written as an
 empty field, as the source tool's ``csv.writer`` does; quotes are doubled likewise. Reports print
@@ -9,10 +10,15 @@ wall-clock timestamps in UTC, without an offset.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import csv
+import io
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postura.sources.files import Files
+
 
 def _timestamp_text(name: str):
     """'yyyy-MM-dd HH:mm:ss', with '.SSSSSS' only when the fraction is not zero."""
@@ -43,12 +49,11 @@ def csv_ready(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write ``df`` as header-first CSV part files under ``path``."""
+def _written(df: DataFrame, path: str, header: bool, mode: str) -> None:
     (
         csv_ready(df)
         .write.mode(mode)
-        .option("header", True)
+        .option("header", header)
         .option("nullValue", "")
         .option("emptyValue", "")
         .option("quote", '"')
@@ -59,6 +64,29 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def report_path(out_dir: str, key: str) -> str:
-    """``<out_dir>/<key>_results``, the output location of one report."""
-    return f"{out_dir.rstrip('/')}/{key}_results"
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write ``df`` as header-first CSV part files under ``path``."""
+    _written(df, path, True, mode)
+
+
+def write_csv_file(df: DataFrame, path: str) -> int:
+    """Write ``df`` as one CSV file ``path``: the header, then the rows in the order of its partitions. Returns the number
+    of rows, which is counted while they are written."""
+    files = Files(df.sparkSession, path)
+    parts = f"{path}.parts"
+    rows = Observation()
+    files.delete(parts)
+    try:
+        _written(df.observe(rows, F.count(F.lit(1)).alias("rows")), parts, False, "overwrite")
+        header = io.StringIO()
+        csv.writer(header, lineterminator="\n").writerow(df.columns)
+        files.write(path, header.getvalue().encode())
+        files.join(path, files.parts(parts))
+    finally:
+        files.delete(parts)
+    return rows.get["rows"]
+
+
+def report_path(out_dir: str, key: str, single: bool = True) -> str:
+    """``<out_dir>/<key>_results.csv``, the file of one report, or ``<out_dir>/<key>_results``, its folder."""
+    return f"{out_dir.rstrip('/')}/{key}_results{'.csv' if single else ''}"

@@ -2,8 +2,8 @@
 
 Loaders:
   * ``from_parquet``  – one directory (or file) per table under a root path.
-  * ``from_jdbc``     – the operational and audit databases over JDBC, with partitioned reads
-                        for the fact tables.
+  * ``from_jdbc``     – the operational and audit databases over JDBC, fact tables in parallel
+                        slices (``slicing``).
   * ``from_catalog``  – tables registered in the session catalog (lakehouse/metastore).
   * ``from_frames``   – DataFrames built by the caller (unit tests).
 
@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postura.schemas import AUDIT_TABLES, COLUMNS, POSTURE_TABLES
+from postura.schemas import AUDIT_TABLES, COLUMNS, FACT_TABLES, POSTURE_TABLES
+from postura.sources.slicing import Slicing, small_result
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
@@ -72,6 +73,12 @@ class Tables:
                     out[name] = lacking
         return out
 
+    def having(self, frames: Mapping[str, Callable[[], DataFrame]]) -> Tables:
+        """These tables and more, or others under the same names."""
+        more = Tables(self._factories | dict(frames))
+        more._cache = {k: df for k, df in self._cache.items() if k not in frames}
+        return more
+
     @classmethod
     def from_frames(cls, frames: Mapping[str, DataFrame]) -> Tables:
         return cls({k: (lambda df=df: df) for k, df in frames.items()})
@@ -112,7 +119,7 @@ class Tables:
 
 @dataclass(frozen=True)
 class Partitioning:
-    """Parallel JDBC read: ``numPartitions`` range slices of a numeric column."""
+    """Parallel JDBC read with bounds given by hand: ``num_partitions`` equal ranges of a numeric column."""
 
     column: str
     lower: int
@@ -122,6 +129,9 @@ class Partitioning:
 
 @dataclass(frozen=True)
 class JdbcSource:
+    """One database. A table is read by one task, by equal ranges (``partitioning``) or by slices whose cuts the database
+    itself gives (``slicing``); a fact table must have one of the last two."""
+
     url: str
     user: str | None = None
     password: str | None = None
@@ -129,19 +139,21 @@ class JdbcSource:
     schema: str = "public"
     fetch_size: int = 10000
     partitioning: Mapping[str, Partitioning] = field(default_factory=dict)
+    slicing: Mapping[str, Slicing] = field(default_factory=dict)
 
-    def options(self, table: str) -> dict[str, str]:
-        opts = {
-            "url": self.url,
-            "dbtable": f"{self.schema}.{table}" if self.schema else table,
-            "driver": self.driver,
-            "fetchsize": str(self.fetch_size),
-            "preferTimestampNTZ": "true",
-        }
+    def relation(self, table: str) -> str:
+        return f"{self.schema}.{table}" if self.schema else table
+
+    def connection(self) -> dict[str, str]:
+        opts = {"driver": self.driver, "fetchsize": str(self.fetch_size), "preferTimestampNTZ": "true"}
         if self.user is not None:
             opts["user"] = self.user
         if self.password is not None:
             opts["password"] = self.password
+        return opts
+
+    def options(self, table: str) -> dict[str, str]:
+        opts = {"url": self.url, "dbtable": self.relation(table), **self.connection()}
         part = self.partitioning.get(table)
         if part is not None:
             opts.update(
@@ -152,5 +164,20 @@ class JdbcSource:
             )
         return opts
 
+    def query(self, spark: SparkSession, sql: str) -> list:
+        """The few rows of a query that the database answers."""
+        return small_result(spark.read.format("jdbc").options(url=self.url, query=sql, **self.connection()).load())
+
+    def predicates(self, spark: SparkSession, table: str) -> list[str]:
+        """One condition a slice; together they hold for each row exactly once."""
+        slicing = self.slicing[table]
+        return slicing.predicates(self.query(spark, slicing.cuts_query(self.relation(table))))
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
+        if table in self.partitioning:
+            return spark.read.format("jdbc").options(**self.options(table)).load()
+        if table in self.slicing:
+            return spark.read.jdbc(self.url, self.relation(table), predicates=self.predicates(spark, table), properties=self.connection())
+        if table in FACT_TABLES:
+            raise ValueError(f"{table} is a fact table: read it in slices (slicing or partitioning), not in one task")
         return spark.read.format("jdbc").options(**self.options(table)).load()

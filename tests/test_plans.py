@@ -93,6 +93,11 @@ def test_fix_age_reads_each_table_once(spark, stored_tables, no_broadcast, key):
     assert set(scans.values()) == {1} and len(scans) == 7, scans
 
 
+def test_benchmark_documents_are_read_and_parsed_once(spark, stored_tables, no_broadcast):
+    plan = _executed(build_report("host_bench_results_details", stored_tables, spark, as_of=AS_OF))
+    assert _scans(plan) == {"host_scan": 1, "hosts": 1} and plan.count("from_json") == 1
+
+
 @pytest.mark.parametrize(
     "key,reads",
     [("container_assurance_summary", {"scan_assurance_results": 1, "scans": 2}), ("containers_running_with_findings_list", {"scan_assurance_results": 1, "scans": 3})],

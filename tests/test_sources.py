@@ -54,6 +54,8 @@ def test_jdbc_options_and_audit_routing(spark):
             return spark.range(1)
 
     assert opts["preferTimestampNTZ"] == "true"
+    with pytest.raises(ValueError, match="fact table"):
+        JdbcSource(url=op.url).read(spark, "scans")
     t = Tables.from_jdbc(spark, Probe(url=op.url), Probe(url=audit.url))
     t["audit"], t["scans"]
     assert calls == [(audit.url, "audit"), (op.url, "scans")]
@@ -83,8 +85,10 @@ def test_collect_runs_operational_then_audit_and_records_failures(spark, driver_
     assert "host_bench_results_details" not in order
     keys = ["image_repo_scans", "audit_malware_list"]
     recs = collect(spark, driver_tables, str(tmp_path), "2001-07-15 12:00:00", keys)
-    assert [r["written"] for r in recs] == [str(tmp_path / f"{k}_results") for k in keys]
-    assert glob.glob(str(tmp_path / "image_repo_scans_results" / "part-*.csv"))
+    assert [r["written"] for r in recs] == [str(tmp_path / f"{k}_results.csv") for k in keys]
+    assert (tmp_path / "image_repo_scans_results.csv").is_file()
+    recs = collect(spark, driver_tables, str(tmp_path / "parts"), "2001-07-15 12:00:00", keys, single_file=False)
+    assert glob.glob(str(tmp_path / "parts" / "image_repo_scans_results" / "part-*.csv")) and recs[0]["rows"] > 0
     broken = Tables.from_frames({})
     recs = collect(spark, broken, str(tmp_path / "b"), "2001-07-15 12:00:00", ["image_repo_scans"])
     assert recs[0]["written"] is None and "not registered" in recs[0]["reason"]
@@ -113,7 +117,7 @@ def test_collect_concurrently_keeps_order_and_outputs(spark, driver_tables, tmp_
     recs = collect(spark, driver_tables, str(tmp_path), "2001-07-15 12:00:00", keys, concurrency=3)
     assert [r["report"] for r in recs] == keys and all(r["written"] for r in recs)
     for k in keys:
-        assert glob.glob(str(tmp_path / f"{k}_results" / "part-*.csv")), k
+        assert (tmp_path / f"{k}_results.csv").is_file(), k
 
 
 def test_csv_sink_timestamps_like_python_str(spark, tmp_path):
@@ -200,5 +204,5 @@ def test_runner_cli_writes_reports_and_restores(spark, driver_tables, tmp_path,
     printed = capsys.readouterr().out
     assert code == 1  # the unknown key is recorded as a failure, the others still run
     assert printed.count('"written": null') == 1 and printed.count('"seconds"') == 2
-    rows = list(csv.reader(open(glob.glob(str(tmp_path / "out" / "license_stats_results" / "part-*.csv"))[0])))
+    rows = list(csv.reader(open(tmp_path / "out" / "license_stats_results.csv")))
     assert rows[0] == ["metric", "used", "licesned", "utilization"] and len(rows) == 3
