@@ -21,34 +21,35 @@ def container_assurance_summary(t: Tables, ctx: Ctx) -> DataFrame:
     """Running containers with at least one failed control, per failed policy type and control.
 
     A container matches a failure when the failure's key equals the container's scan id, the
-    id of any scan of its image, or the container id. Keys come first: the containers' own and the scans
-    of the images they run, so that the assurance fact meets these scans only. The image
-    route depends on the image alone and is resolved per image. Both routes give (container,
-    type, control) rows; the containers' other columns are joined once, to the distinct ones. The containers
-    are shuffled by id once for all of this, and both routes read the same failures by the same key, so that
-    shuffle too is computed once and reused.
+    id of any scan of its image, or the container id. Keys come first, each with its owner: a container
+    for its own two, an image for those of its scans (resolved once per image, of the images that run). The
+    assurance fact meets only the scans among the keys; the (owner, type, control) rows found are made
+    distinct and joined once to the containers, each of which stands under two owners, itself and its image.
+    Containers and keys are each shuffled once for all of this.
     """
     columns = ["id", "scan_id", "oci_image_id", "image_name", "level1", "level2", "level3"]
     packed = pack(_running(t).select(*columns), ["id"], "id").repartition("id")
-    own = row_keys(unpack(packed, columns), "id", [F.col("scan_id"), F.col("id")])
-    runs = row_keys(unpack(packed, columns), "id", [F.col("oci_image_id")]).withColumnRenamed("key", "docker_id")
-    used = runs.select("docker_id").distinct()
+    # never null, as its id is not: no filter on it can part the uses of one shuffle
+    itself = F.concat(F.lit("container "), F.coalesce(F.col("id").cast("string"), F.lit("")))
+    image = F.concat(F.lit("image "), F.col("docker_id").cast("string"))
+    own = row_keys(unpack(packed, columns), "id", [F.col("scan_id"), F.col("id")]).select(itself.alias("owner"), "key")
+    used = row_keys(unpack(packed, columns), "id", [F.col("oci_image_id")]).select(F.col("key").alias("docker_id")).distinct()
     images = t["image_metadata"].select("image_id", "docker_id").join(used, "docker_id", "left_semi")
     scans = t["scans"].where(F.col("image_id").isNotNull()).select("image_id", F.col("id").cast("string").alias("key"))
-    both = ["docker_id", "key"]
-    of_images = unpack(splittable_side(pack(images.join(scans, "image_id").select(*both), both)), both, both)
+    of_images = images.join(scans, "image_id").select(image.alias("owner"), "key")
+    both = ["owner", "key"]
+    keyed = unpack(splittable_side(pack(own.union(of_images), both)), both, both)
 
-    needed = own.select("key").union(of_images.select("key")).distinct()
     failures = (
-        policy_failures(t, needed)
+        policy_failures(t, keyed.select("key").distinct())
         .where(F.col("failed_control").isNotNull())
         .select(F.col("scan_id").alias("key"), "failed_control", F.col("failed_policy_type").alias("failed_control_type"))
     )
     what = ["failed_control_type", "failed_control"]
-    per_image = of_images.join(failures, "key").select("docker_id", *what).distinct()
-    via_image = runs.join(per_image, "docker_id").select("id", *what)
-    found = own.join(failures, "key").select("id", *what).union(via_image).distinct()
-    rows = found.join(unpack(packed, ["id", "image_name", "level1", "level2", "level3"]), "id")
+    found = keyed.join(failures, "key").select("owner", *what).distinct()
+    owners = F.array_compact(F.array(itself, F.concat(F.lit("image "), F.col("oci_image_id").cast("string"))))
+    owned = unpack(packed, columns).select("id", "image_name", "level1", "level2", "level3", F.explode_outer(owners).alias("owner"))
+    rows = owned.join(found, "owner").drop("owner").distinct()
     counted = {"image_count": "image_name", "cluster_count": "level1", "namespace_count": "level2", "controller_count": "level3"}
     counts = distinct_counts(rows, what, counted, {"container_count": F.lit(1)})
     return counts.select(*what, "container_count", *counted)

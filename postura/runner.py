@@ -199,7 +199,7 @@ def main(argv: list[str] | None = None) -> int:
     """Command-line entry point; returns 0 when every report succeeded."""
     args = arguments(argv)
 
-    spark = SparkSession.builder.appName("postura-collect").getOrCreate()
+    spark = SparkSession.builder.appName("postura-collect").config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     apply_cluster_defaults(spark)
     as_of = args.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     keys = args.only or collection_order(args.include_disabled)

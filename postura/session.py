@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # a report is some hundred Column calls; looking up the Python line of each one takes longer than running a small report
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
