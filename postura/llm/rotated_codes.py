@@ -7,9 +7,12 @@ packed bits through tables of 256 sums for each byte, divided by that scalar; th
 by at most ``spread`` * sqrt((1 - s^2) / (s^2 (dims - 1))) for nearly all vectors. Vectors whose upper bound
 reaches the kth best exact score found so far are chosen for reranking in double precision on the original vectors.
 
-On Spark: rows are dealt into blocks by hash, queries likewise, and every pair of a query block and a data
-block is one group of bounded size: a stated query set, in blocks, against blocks of all rows. A pair's k best for
-each query are merged by rank. Every row is coded; nothing is fitted but a block's own centroid.
+On Spark: equal vectors are one point that keeps its k + 1 smallest ids, as a later copy can't be among the best k of any
+query. Points are dealt into blocks by hash, and each block is coded once, into one row of packed bits and scalars. Queries
+are dealt into blocks too, and every pair of blocks is searched twice, which moves codes and query vectors but none
+of the points': first for the points of best estimate, of which the best over all blocks are scored exactly and give
+each query a score to beat; then for all points whose upper bound reaches it. Those are scored by joins that
+fetch their original vectors. Every row is coded; nothing is fitted but a block's own centroid.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, take no part, nor do rows
 without vec_id; rows equal in vec_id and vector are one row; a row never finds rows of its own vec_id; vectors of
@@ -20,20 +23,23 @@ table gives an empty one.
 from __future__ import annotations
 
 import math
+import pickle
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
-from postura.llm.common import cut
+from postura.llm.common import cut, empty
 from postura.llm.vectors import align, asked, finite_vectors, matrix
 
 BLOCK = 8192
 QUERY_BLOCK = 1024
 FIRST_CHOICE = 8
 AT_ONCE = 64
+PAIRS_AT_ONCE = 4096
+SCHEMA = "query_id long, rank int, vec_id long, score double"
 SEED = 20
 
 
@@ -51,11 +57,10 @@ class Codes:
         n, dims = unit.shape
         self.dims = -(-dims // 8) * 8
         padded = np.pad(unit, ((0, 0), (0, self.dims - dims)))
-        self.turn = rotation(self.dims)
         self.centroid = padded.mean(0)
         residual = padded - self.centroid
         self.length = np.sqrt((residual**2).sum(1))
-        turned = residual @ self.turn
+        turned = residual @ rotation(self.dims)
         self.bits = np.packbits(turned > 0, axis=1, bitorder="little")
         with np.errstate(divide="ignore", invalid="ignore"):
             self.aligned = np.abs(turned).sum(1) / (math.sqrt(self.dims) * self.length)
@@ -63,8 +68,10 @@ class Codes:
 
     def estimate(self, queries: np.ndarray, spread: float) -> tuple[np.ndarray, np.ndarray]:
         """Estimated inner products with unit queries, and how far they may be off."""
+        if queries.shape[1] > self.dims:  # the block's vectors have zeros there
+            queries = queries[:, : self.dims]
         padded = np.pad(queries, ((0, 0), (0, self.dims - queries.shape[1])))
-        turned = (padded @ self.turn).reshape(len(padded), -1, 8) / math.sqrt(self.dims)
+        turned = (padded @ rotation(self.dims)).reshape(len(padded), -1, 8) / math.sqrt(self.dims)
         signs = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little") * 2.0 - 1
         tables = turned @ signs.T  # for each query and byte of a code, the sum of its 8 signed coordinates
         with_code = np.zeros((len(padded), len(self.bits)))
@@ -87,62 +94,124 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int, spread: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, score) of each query's k nearest of one block, by codes and reranking."""
-    queries, data = align(queries, data)
+def unit(m: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1."""
+    m = m / np.abs(m).max(1, keepdims=True)
+    return m / np.sqrt((m * m).sum(1))[:, None]
 
-    def unit(m: np.ndarray) -> np.ndarray:
-        m = m / np.abs(m).max(1, keepdims=True)
-        return m / np.sqrt((m * m).sum(1))[:, None]
 
-    codes, asked_for = Codes(unit(data)), unit(queries)
+def promising(codes: Codes, queries: np.ndarray, count: int, spread: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, point, estimate) of each unit query's ``count`` points of best estimate."""
     out: list[tuple[np.ndarray, ...]] = []
-    first = min(len(data), FIRST_CHOICE * k)
+    count = min(count, len(codes.bits))
     for at in range(0, len(queries), AT_ONCE):
-        rows = np.arange(at, min(at + AT_ONCE, len(queries)))
-        middle, off = codes.estimate(asked_for[rows], spread)
-        middle[query_ids[rows][:, None] == ids] = -np.inf
-        # the most promising ones give each query a kth exact score to beat
-        few = np.argpartition(-middle, first - 1, axis=1)[:, :first]
-        seen = cosines(queries[np.repeat(rows, first)], data[few.ravel()]).reshape(few.shape)
-        seen[np.isneginf(np.take_along_axis(middle, few, 1))] = -np.inf
-        kth = -np.partition(-seen, k - 1, axis=1)[:, k - 1] if first >= k else np.full(len(rows), -np.inf)
-        chosen = middle + off >= kth[:, None]
-        np.put_along_axis(chosen, few, True, 1)
-        chosen &= ~np.isneginf(middle)
-        r, c = np.nonzero(chosen)
-        score = cosines(queries[rows[r]], data[c])
-        order = np.lexsort((ids[c], -score, r))
-        sizes = np.bincount(r, minlength=len(rows))
-        order = order[np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < k]
-        out.append((rows[r[order]], ids[c[order]], score[order]))
+        middle, _ = codes.estimate(queries[at : at + AT_ONCE], spread)
+        few = np.argpartition(-middle, count - 1, axis=1)[:, :count]
+        rows = np.repeat(np.arange(at, at + len(middle)), count)
+        out.append((rows, few.ravel(), np.take_along_axis(middle, few, 1).ravel()))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _rerank(k: int, spread: float):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+def reaching(codes: Codes, queries: np.ndarray, floors: np.ndarray, spread: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query row, point) of the points whose upper bound is at least the query's floor."""
+    out: list[tuple[np.ndarray, ...]] = []
+    for at in range(0, len(queries), AT_ONCE):
+        middle, off = codes.estimate(queries[at : at + AT_ONCE], spread)
+        row, point = np.nonzero(middle + off >= floors[at : at + AT_ONCE, None])
+        out.append((row + at, point))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _encode(block: pa.Table) -> pa.Table:
+    """One block's points to one row with their codes."""
+    coded = pickle.dumps((Codes(unit(matrix(block["vector"]))), block["point"].to_numpy()), protocol=5)
+    return pa.table({"d": block["d"][:1], "codes": pa.array([coded], pa.binary())})
 
+
+def _gather(block: pa.Table) -> pa.Table:
+    """One block's queries to one row."""
+    asked_for = pickle.dumps((unit(matrix(block["vector"])), block["query"].to_numpy(), block["floor"].to_numpy(zero_copy_only=False)), protocol=5)
+    return pa.table({"q": block["q"][:1], "queries": pa.array([asked_for], pa.binary())})
+
+
+def _best_estimates(count: int, spread: float):
     def pair(queries: pa.Table, data: pa.Table) -> pa.Table:
-        if not queries.num_rows or not data.num_rows:
-            return schema.empty_table()
-        query_ids = queries["vec_id"].to_numpy()
-        rows, ids, scores = nearest(matrix(queries["vector"]), query_ids, matrix(data["vector"]), data["vec_id"].to_numpy(), k, spread)
-        return pa.table([pa.array(query_ids[rows]), pa.array(ids), pa.array(scores)], schema=schema)
+        vectors, ids, _ = pickle.loads(queries["queries"][0].as_py())
+        codes, points = pickle.loads(data["codes"][0].as_py())
+        rows, found, estimate = promising(codes, vectors, count, spread)
+        return pa.table({"query": ids[rows], "point": points[found], "estimate": estimate})
 
     return pair
 
 
-def approximate_nearest(vectors: DataFrame, k: int = 5, every: int = 50, spread: float = 1.9) -> DataFrame:
+def _within_bounds(spread: float):
+    def pair(queries: pa.Table, data: pa.Table) -> pa.Table:
+        vectors, ids, floors = pickle.loads(queries["queries"][0].as_py())
+        codes, points = pickle.loads(data["codes"][0].as_py())
+        rows, found = reaching(codes, vectors, np.where(np.isnan(floors), -np.inf, floors), spread)
+        return pa.table({"query": ids[rows], "point": points[found]})
+
+    return pair
+
+
+def _scored(pairs: DataFrame, queries: DataFrame, points: DataFrame) -> DataFrame:
+    """(query, point, ids, score): exact cosines on the original vectors of ``pairs(query, point)``."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAIRS_AT_ONCE):
+                rows = batch.slice(at, PAIRS_AT_ONCE)
+                a, b = align(matrix(rows.column("asked")), matrix(rows.column("vector")))
+                columns = [rows.column(c) for c in ("query", "point", "ids")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(cosines(a, b))], names=["query", "point", "ids", "score"])
+
+    both = pairs.join(points.select("point", "vector", "ids"), "point").join(queries.select("query", F.col("vector").alias("asked")), "query")
+    return both.mapInArrow(run, "query long, point long, ids array<long>, score double")
+
+
+def approximate_nearest(vectors: DataFrame, k: int = 5, every: int = 50, spread: float = 2.5, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """For each row whose vec_id is divisible by ``every`` its k nearest others found: query_id, rank, vec_id, score."""
-    rows = finite_vectors(vectors, "double").filter(F.exists("vector", lambda x: x != 0)).distinct()
-    rows = cut(rows)
+    element = vectors.schema["embedding"].dataType.elementType.simpleString()
+    rows = finite_vectors(vectors, "float" if element == "float" else "double").filter(F.exists("vector", lambda x: x != 0))
+    rows = cut(rows.distinct())
+    copies = Window.partitionBy("vector").orderBy("vec_id")
+    kept = rows.withColumn("nth", F.row_number().over(copies)).filter(F.col("nth") <= k + 1)
+    # at most k + 1 ids each; numbered once they are written
+    points = cut(kept.groupBy("vector").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))).withColumn("point", F.monotonically_increasing_id())
+    asking = rows.filter(asked(F.col("vec_id"), every)).distinct()
+    members = cut(asking.join(points.select("vector", "point"), "vector").select(F.col("vec_id").alias("query_id"), F.col("point").alias("query"), "vector"))
+    queries = members.select("query", "vector").dropDuplicates(["query"])
     # two numbers, for the sizes of the blocks
-    n, queries = rows.agg(F.count(F.lit(1)), F.count_if(asked(F.col("vec_id"), every))).first()
-    blocks, query_blocks = max(1, math.ceil(n / BLOCK)), max(1, math.ceil(queries / QUERY_BLOCK))
-    deal = lambda parts: F.pmod(F.xxhash64("vec_id", "vector"), F.lit(parts)).cast("int")
-    every_one = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    data = rows.withColumn("d", deal(blocks)).withColumn("q", every_one(query_blocks))
-    asking = rows.filter(asked(F.col("vec_id"), every)).withColumn("q", deal(query_blocks)).withColumn("d", every_one(blocks))
-    found = asking.groupBy("d", "q").cogroup(data.groupBy("d", "q")).applyInArrow(_rerank(k, spread), "query_id long, vec_id long, score double")
+    n, m = points.count(), queries.count()
+    if not n or not m:
+        return empty(vectors.sparkSession, SCHEMA)
+    blocks, query_blocks = math.ceil(n / block), math.ceil(m / query_block)
+
+    def deal(key: str, parts: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+    def every_one(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    codes = cut(points.select(deal("point", blocks).alias("d"), "point", "vector").groupBy("d").applyInArrow(_encode, "d int, codes binary"))
+    codes = codes.withColumn("q", every_one(query_blocks)).groupBy("d", "q")
+
+    def gathered(floors: DataFrame | None) -> GroupedData:
+        own = queries.withColumn("floor", F.lit(None).cast("double")) if floors is None else queries.join(floors, "query", "left")
+        one = own.withColumn("q", deal("query", query_blocks)).groupBy("q").applyInArrow(_gather, "q int, queries binary")
+        return one.withColumn("d", every_one(blocks)).groupBy("d", "q")
+
+    count = FIRST_CHOICE * (k + 1)
+    guess = gathered(None).cogroup(codes).applyInArrow(_best_estimates(count, spread), "query long, point long, estimate double")
+    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("estimate"), "point"))
+    first = cut(_scored(guess.withColumn("n", nth).filter(F.col("n") <= count).select("query", "point"), queries, points))
+    # a query's own point may be its best, so that the score to beat is that of the point after the kth
+    beat = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+    floors = first.withColumn("n", beat).filter(F.col("n") == k + 1).select("query", F.col("score").alias("floor"))
+    reach = gathered(floors).cogroup(codes).applyInArrow(_within_bounds(spread), "query long, point long")
+    more = _scored(reach.join(first.select("query", "point"), ["query", "point"], "left_anti"), queries, points)
+    found = first.union(more).withColumn("vec_id", F.explode("ids")).select("query", "vec_id", "score")
+    answered = members.select("query_id", "query").join(found, "query").filter("vec_id <> query_id")
+    best = answered.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.distinct().withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -6,19 +6,18 @@ order is cut into runs. Rows near in several dimensions lie in one shard, so the
 files let a reader skip most of them for a filter on any of the dimensions.
 
 Law ``rows``: row p of n goes to shard floor(p * shards / n), so counts differ by one at most. No global sort:
-rows of a cell are dealt into groups by a range of their hash, group sizes give each group's first
-place by running sums (over at most 4096 cells, and over the groups of one cell), and
+the rows of a cell are dealt by hash into one group for each ROWS_A_GROUP of them, so there are at most rows / ROWS_A_GROUP + 4096
+groups; group sizes give each group's first place by running sums (over the cells, and over the groups of one cell), and
 a row adds its place in its own group. A cell with a third of all rows has as many groups as it needs.
 
 Defined results: null text has no bytes and the checksum of the empty text; null metadata is a level of its
 own or the lowest; ties in the order are broken by size and checksum, and rows equal in these are
-interchangeable; an empty table gives an empty one. Other input columns are carried only if asked for.
+interchangeable; the cuts between the levels are approximate eighths, which over very many rows may differ a little between runs
+(the law holds for any cuts); an empty table gives an empty one. Other input columns are carried only if asked for.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,8 +76,9 @@ def _hashed(column: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("\0"))), F.lit(LEVELS)).cast("int")
 
 
-def hilbert_shards(docs: DataFrame, shards: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot) of every row, and the columns named in ``keep``, prefixed ``doc_``."""
+def hilbert_shards(docs: DataFrame, shards: int, keep: tuple[str, ...] = (), rows_a_group: int = ROWS_A_GROUP) -> DataFrame:
+    """(doc_id, size, text_crc32, cell, shard, slot) of every row, ``cell`` its index on the curve, and the columns named in
+    ``keep``, prefixed ``doc_``."""
     if shards < 1:
         raise ValueError("shards must be positive")
     text = F.col("text").cast("string")
@@ -95,24 +95,23 @@ def hilbert_shards(docs: DataFrame, shards: int, keep: tuple[str, ...] = ()) ->
     eighths = F.array(*[F.lit(i / LEVELS) for i in range(1, LEVELS)])
     # one row: the number of rows and seven cuts of each number
     n, by_size, by_id = rows.agg(F.count(F.lit(1)), F.percentile_approx("size", eighths), F.percentile_approx("doc_id", eighths)).first()
-    # hashes of equal rows are equal, so the order does not depend on the run
     hashed = F.xxhash64("doc_id", "size", "text_crc32")
-    groups = max(1, math.ceil(n / ROWS_A_GROUP))
     levels = [_level(F.col("size"), by_size), _level(F.col("doc_id"), by_id), F.col("_lang"), F.col("_source")]
-    placed = rows.withColumn("_cell", _curve(levels)).withColumn("_hash", hashed).withColumn("_group", F.pmod(F.col("_hash"), F.lit(groups)))
-    sizes = placed.groupBy("_cell", "_group").agg(F.count(F.lit(1)).alias("_n"))
+    placed = rows.withColumn("cell", _curve(levels)).withColumn("_hash", hashed)
     sums = Window.rowsBetween(Window.unboundedPreceding, -1)
-    cells = sizes.groupBy("_cell").agg(F.sum("_n").alias("_n"))
     # at most 4096 rows
-    cells = cells.select("_cell", F.coalesce(F.sum("_n").over(sums.orderBy("_cell")), F.lit(0)).alias("_cells_before"))
-    starts = sizes.withColumn("_groups_before", F.coalesce(F.sum("_n").over(sums.partitionBy("_cell").orderBy("_group")), F.lit(0)))
-    starts = starts.join(F.broadcast(cells), "_cell").select("_cell", "_group", (F.col("_cells_before") + F.col("_groups_before")).alias("_first"))
-    own = F.row_number().over(Window.partitionBy("_cell", "_group").orderBy("_hash", "doc_id", "size", "text_crc32"))
-    placed = placed.withColumn("_own", own).join(starts, ["_cell", "_group"])
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))
+    cells = cells.select("cell", F.ceil(F.col("_n") / rows_a_group).alias("_groups"), F.coalesce(F.sum("_n").over(sums.orderBy("cell")), F.lit(0)).alias("_cells_before"))
+    placed = placed.join(F.broadcast(cells), "cell").withColumn("_group", F.pmod(F.col("_hash"), F.col("_groups")))
+    sizes = placed.groupBy("cell", "_group", "_cells_before").agg(F.count(F.lit(1)).alias("_n"))
+    groups_before = F.coalesce(F.sum("_n").over(sums.partitionBy("cell").orderBy("_group")), F.lit(0))
+    starts = sizes.select("cell", "_group", (F.col("_cells_before") + groups_before).alias("_first"))
+    own = F.row_number().over(Window.partitionBy("cell", "_group").orderBy("_hash", "doc_id", "size", "text_crc32"))
+    placed = placed.withColumn("_own", own).join(starts, ["cell", "_group"])
     place = F.col("_first") + F.col("_own") - 1
     placed = placed.withColumn("_place", place).withColumn("shard", F.expr(f"_place * {shards} div {max(n, 1)}").cast("int"))
     begin = F.expr(f"(shard * {n}L + {shards - 1}) div {shards}")
-    return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("_place") - begin).alias("slot"), *[f"doc_{c}" for c in keep])
+    return placed.select("doc_id", "size", "text_crc32", "cell", "shard", (F.col("_place") - begin).alias("slot"), *[f"doc_{c}" for c in keep])
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -10,10 +10,12 @@ one anchor occurrence form a run; its text is the anchor extended both ways as f
    repeats as a whole. Copies within one batch are reduced before the shuffle, so that a hot passage
    sends a row for each batch and not for each document.
 2. Anchors with several different extended texts go back to their documents, where the extension is compared
-   window by window: equal windows meet on a 128-bit hash, and all but the first are repeats.
+   window by window: equal windows meet on a 128-bit hash, and all but the first are repeats. Again those of one piece of
+   the documents are reduced before the shuffle, so that a passage between varying neighbours sends a row for each piece.
 3. Repeats of a document are merged to maximal repeats, whose words are removed.
 
-No pairs of documents are formed: the cost of an anchor or window grows with its occurrences.
+No pairs of documents are formed: the cost of an anchor or window grows with its occurrences. An anchor whose extensions all
+differ meets in one task, sorted on disk and read as a stream.
 
 Defined results: words are runs of anything but the six ASCII white-space bytes; null text has no words;
 rows without doc_id come after all others; rows equal in doc_id and text are one document, rows equal in
@@ -201,24 +203,63 @@ def _reap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extend(least: int):
-    """(doc_id, version, text, asked runs, ...) to its windows: two hashes, and where each begins."""
+    """(doc_id, version, text, asked runs, ...) to its windows: two hashes, and where each begins. Of equal windows that
+    come together the first goes on; the others are repeats (windows negative, joined to runs) and take hashes of
+    their place, so that a window of many documents meets as one row for each piece of its documents."""
+
+    def out(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, version: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((start, version, doc, h2, h1))
+        h1, h2, doc, version, start = (x[order] for x in (h1, h2, doc, version, start))
+        first = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+        leader = np.flatnonzero(first)[np.cumsum(first) - 1]
+        # rows equal in all are the same window and repeat nothing
+        again = (doc != doc[leader]) | (version != version[leader]) | (start != start[leader])
+        known, k_start, k_windows = _merge_keyed(doc[again], version[again], start[again], least)
+        own = [known[:, 0], known[:, 1]]
+        place = _mix(own[0].astype(np.uint64) ^ _mix(own[1].astype(np.uint64) ^ _mix(k_start.astype(np.uint64)))).view(np.int64)
+        cols = [
+            np.r_[h1[first], place],
+            np.r_[h2[first], np.zeros(len(place), np.int64)],
+            np.r_[doc[first], own[0]],
+            np.r_[version[first], own[1]],
+            np.r_[start[first], k_start].astype(np.int32),
+            np.r_[np.ones(first.sum(), np.int32), -k_windows.astype(np.int32)],
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h1", "h2", "key", "version", "start", "windows"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        total = 0
         for batch in batches:
-            for d, v, text, asked in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                hashes = _word_hashes(text.encode().split())
-                begin = np.array([a["start"] for a in asked], np.int64)
-                n = np.array([a["windows"] for a in asked], np.int64)
-                start = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                h1, h2 = (_Sums(hashes, b).of(start, start + least).view(np.int64) for b in BASES)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1), pa.array(h2), pa.array(np.full(len(start), d)), pa.array(np.full(len(start), v)), pa.array(start.astype(np.int32))],
-                    names=["h1", "h2", "doc_id", "version", "start"],
-                )
+            for at in range(0, batch.num_rows, 256):
+                for d, v, text, asked in zip(*(batch.column(i).slice(at, 256).to_pylist() for i in range(4)), strict=True):
+                    hashes = _word_hashes(text.encode().split())
+                    begin = np.array([a["start"] for a in asked], np.int64)
+                    n = np.array([a["windows"] for a in asked], np.int64)
+                    start = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    h1, h2 = (_Sums(hashes, b).of(start, start + least).view(np.int64) for b in BASES)
+                    held.append((h1, h2, np.full(len(start), d, np.int64), np.full(len(start), v, np.int64), start))
+                    total += len(start)
+                    if total >= ROWS_AT_ONCE:
+                        yield out(*map(np.concatenate, zip(*held, strict=True)))
+                        held, total = [], 0
+        if held:
+            yield out(*map(np.concatenate, zip(*held, strict=True)))
 
     return run
 
 
+def _merge_keyed(doc: np.ndarray, version: np.ndarray, start: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Single windows, repeated rows among them, merged to runs: (document and version, start, windows)."""
+    keys = np.stack([doc, version], 1)
+    if not len(keys):
+        return keys, start, start
+    known, number = np.unique(keys, axis=0, return_inverse=True)
+    places = np.unique(np.stack([number.ravel(), start], 1), axis=0)
+    own, k_start, k_windows = _merge(places[:, 0], places[:, 1], np.ones(len(places), np.int64), least)
+    return known[own], k_start, k_windows
+
+
 def _remove(least: int):
     """(doc_id, text, repeats) to the text that is kept."""
 
@@ -260,9 +301,9 @@ def substring_dedup(docs: DataFrame, least: int = 20, anchor: int = 8, carry: tu
     asked = found.filter("not sure").groupBy("key", "version").agg(spans)
     # all columns go along, though unread, so that both joins need the same shuffle of the texts and Spark makes it once
     asking = keyed.join(asked, ["key", "version"]).select("key", "version", "text", "spans", *base.columns[:1], *base.columns[2:])
-    windows = asking.mapInArrow(_extend(least), "h1 long, h2 long, key long, version long, start int")
+    windows = asking.mapInArrow(_extend(least), "h1 long, h2 long, key long, version long, start int, windows int")
     order = F.dense_rank().over(Window.partitionBy("h1", "h2").orderBy("key", "version", "start"))
-    again = windows.withColumn("nth", order).filter("nth > 1").select("key", "version", "start", F.lit(1).alias("windows"))
+    again = windows.withColumn("nth", order).filter("nth > 1 or windows < 0").select("key", "version", "start", F.abs("windows").alias("windows"))
     repeats = found.filter("sure").select("key", "version", "start", "windows").union(again).groupBy("key", "version").agg(spans)
     joined = keyed.join(repeats, ["key", "version"], "left").select("doc_id", "text", "spans", *[f"doc_{c}" for c in carry])
     carried = "".join(f", `doc_{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema.fields) if carry else ""

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import sys
+import zlib
 from pathlib import Path
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -88,12 +92,33 @@ def test_secrets_are_replaced(spark, odd_dir, tmp_path):  # noqa: F811
 def test_packing_holds_all_ids(stages):
     before, columns, after = stages["packing"]
     rows = [dict(zip(columns, r, strict=True)) for r in after]
-    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == sorted(brute.pieces([(r[0], r[1]) for r in before]))
+    digests = [(r["doc_id"], r["piece"], r["start"], r["length"], zlib.crc32(r["ids"])) for r in rows]
+    assert sorted(digests) == sorted(brute.pieces([(r[0], r[1]) for r in before]))
     brute.check_packing([(r["sequence_id"], r["offset"], r["length"]) for r in rows])
 
 
+def test_sequences_decode_to_the_texts(stages):
+    """The packed tokens, taken from their sequences, are the texts that the stage before kept."""
+    before, columns, after = stages["packing"]
+    rows = [dict(zip(columns, r, strict=True)) for r in after]
+    sequences = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        own = sequences.setdefault(r["sequence_id"], [])
+        assert len(own) == r["offset"] and len(r["ids"]) == 4 * r["length"]
+        own.extend(np.frombuffer(r["ids"], "<u4").tolist())
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {}
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["start"])):
+        texts.setdefault(r["doc_id"], []).extend(sequences[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]])
+    for d, text, *_ in before:
+        assert texts[d][-1] == 2 and tokenizer.decode(texts[d][:-1], skip_special_tokens=False) == (text or "")
+
+
 def test_run_and_empty(spark, odd_dir, tmp_path):  # noqa: F811
-    assert P.run(spark, odd_dir[0]).count() > 0
+    out = P.run(spark, odd_dir[0])
+    assert out.count() > 0
+    folder = Path(out.inputFiles()[0].removeprefix("file://")).parents[1]
+    assert [p.name for p in folder.iterdir()] == ["packing"]  # the other stages' files are gone
     for name in ("documents", "labels"):
         spark.read.parquet(f"{odd_dir[0]}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0

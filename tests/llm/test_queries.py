@@ -5,12 +5,14 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 
+from postura.llm import rotated_codes, sharding  # noqa: E402
 from postura.llm.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -86,7 +88,7 @@ def test_empty_tables(spark, empty_dir, name):
     assert QUERIES[name](spark, empty_dir).collect() == []
 
 
-@pytest.mark.parametrize("name", sorted(set(PLAIN) - {"op5_simhash_groups", "op8_substring_dedup"}))
+@pytest.mark.parametrize("name", sorted(set(PLAIN) - {"op8_substring_dedup"}))
 def test_repeated_rows_and_null_ids(spark, odd_dir, tmp_path, name):
     docs = spark.read.parquet(f"{odd_dir[0]}/documents.parquet")
     some = docs.filter("doc_id < 17")
@@ -128,6 +130,75 @@ def test_shards(spark, odd_dir, which):
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
 
 
+def test_curve_visits_neighbouring_cells():
+    """The index is a bijection onto the cells, and cells that follow each other differ by one step in one dimension."""
+    cells = {sharding.hilbert_index((a, b, c, d), 3): (a, b, c, d) for a in range(8) for b in range(8) for c in range(8) for d in range(8)}
+    assert sorted(cells) == list(range(4096))
+    for i in range(4095):
+        assert sum(abs(x - y) for x, y in zip(cells[i], cells[i + 1], strict=True)) == 1
+
+
+def test_shards_lie_along_the_curve(spark, tmp_path):
+    """Groups of 50 rows: cells, recomputed in Python, ascend along the places, and groups are few and small."""
+    import zlib as z
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    found = sharding.hilbert_shards(docs, 8, keep=("lang", "source"), rows_a_group=50)
+    rows_ = sorted(found.collect(), key=lambda r: (r["shard"], r["slot"]))
+    assert [r["cell"] for r in rows_] == sorted(r["cell"] for r in rows_) and len({r["cell"] for r in rows_}) > 100
+    eighths = lambda c: docs.selectExpr("cast(octet_length(text) + 1 as long) as size", "doc_id").agg(sharding.F.percentile_approx(c, [i / 8 for i in range(1, 8)])).first()[0]
+    sizes, ids = (sorted(set(eighths(c))) for c in ("size", "doc_id"))
+    for r in rows_:
+        point = (sum(r["size"] > c for c in sizes), sum(r["doc_id"] > c for c in ids), z.crc32(r["doc_lang"].encode()) % 8, z.crc32(r["doc_source"].encode()) % 8)
+        assert r["cell"] == sharding.hilbert_index(point, 3)
+    sharding.write_shards(found, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.count() == len(rows_)
+    for s in range(8):
+        part = [tuple(r) for r in spark.read.parquet(str(tmp_path / "shards" / f"shard={s}")).select("slot", "doc_id").collect()]
+        assert part == sorted(part) == [(r["slot"], r["doc_id"]) for r in rows_ if r["shard"] == s]
+
+
+def test_hot_cell_has_the_groups_it_needs(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "'same' as text", "'en' as lang", "if(id % 3 = 0, 'hot', concat('s', id % 40)) as source")
+    plan = sharding.hilbert_shards(docs, 7, rows_a_group=100)
+    found = plan.collect()
+    counts = [sum(r["shard"] == s for r in found) for s in range(7)]
+    assert len(found) == 3000 and max(counts) - min(counts) <= 1
+    for s in range(7):
+        assert sorted(r["slot"] for r in found if r["shard"] == s) == list(range(counts[s]))
+
+
+@pytest.mark.parametrize("block,query_block", [(64, 8), (100_000, 100_000)])
+def test_nearest_over_many_blocks(spark, block, query_block):
+    """Several blocks of points and queries; copies and near copies of one vector in a third of the rows, repeated rows, null ids."""
+    r = np.random.default_rng(4)
+    base = r.normal(size=(400, 24))
+    vectors = [(i, base[7] if i % 3 == 0 else base[7] + 1e-3 * base[i] if i % 3 == 1 else base[i]) for i in range(400)]
+    given = [(i, [float(np.float32(x)) for x in v]) for i, v in vectors]
+    given += [given[0], given[50], (None, given[3][1])]
+    frame = spark.createDataFrame(given, "vec_id long, embedding array<float>")
+    found = {(x["query_id"], x["vec_id"]): x["score"] for x in rotated_codes.approximate_nearest(frame, 5, 50, block=block, query_block=query_block).collect()}
+    want = brute.op6(given)
+    assert len(found) == len(want)
+    # ties between copies go to the smaller id, so that only scores near each other may be exchanged
+    hit = sum((q, i) in found for q, _, i, _ in want)
+    assert hit / len(want) >= 0.9
+    assert all(abs(found[q, i] - s) < 1e-12 for q, _, i, s in want if (q, i) in found)
+
+
+def test_passage_between_varying_neighbours(spark, tmp_path, monkeypatch):
+    """A passage in every document, each time between other words, and once more in the same document."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = [(i, f"{' '.join(f'a{i}x{j}' for j in range(i % 7 + 25))} {passage} {' '.join(f'b{i}x{j}' for j in range(25))}") for i in range(300)]
+    docs += [(1000, f"{passage} c {passage}"), docs[5], docs[5], (None, docs[9][1])]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(7).write.parquet(f"{tmp_path}/documents.parquet")
+    found = rows(QUERIES["op8_substring_dedup"](spark, str(tmp_path)), COLUMNS["op8_substring_dedup"])
+    plain = {r[0]: r for r in brute.op8([*docs[:301], (1 << 62, docs[9][1])])}  # a row without id comes last
+    want = [plain[d] for d, _ in docs[:303]] + [(None, *plain[1 << 62][1:])]
+    assert found == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("which", ["given", "odd"])
 def test_packing(spark, odd_dir, documents, which):
     docs = documents if which == "given" else ODD
