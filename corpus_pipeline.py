@@ -4,9 +4,12 @@
 2. ``simhash`` keeps the document of smallest doc_id of each near-duplicate group.
 3. ``substrings`` removes the words of repeated passages but for their first occurrence; other texts stay as they are.
 4. ``secrets`` replaces secrets by their kind in brackets.
-5. ``packing`` packs what is left into sequences; its rows are the pieces.
+5. ``packing`` packs what is left into sequences; its rows are the pieces, each with its token ids (``ids``, little-endian
+   32-bit integers): a sequence is its pieces' ids by ``offset``.
 
 All stages but the last return the columns of ``documents``; n_chars follows the text where a stage changes it.
+Null and empty texts pass through all stages (the packing gives each its end id); other columns of ``documents``
+are left behind at the first stage that changes rows. A stage's files are removed once the next stage has written its own.
 A document that a stage has nothing to say against stays. Rows without doc_id belong to no near-duplicate group
 and stay; of several rows with one doc_id the second stage keeps one.
 """
@@ -16,15 +19,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postura.llm.common import DOCUMENT_COLUMNS, shared_folder, table
-from postura.llm.queries import FINGERPRINT_BITS, REPEAT_WORDS, SHINGLE_WORDS, TOXIC_FROM, packed
+from postura.llm.packing import pack_documents
+from postura.llm.queries import BYTE_VOCABULARY, END_ID, FINGERPRINT_BITS, REPEAT_WORDS, SEQUENCE_TOKENS, SHINGLE_WORDS, TOXIC_FROM
 from postura.llm.secrets import redact, scan
 from postura.llm.simhash import simhash_groups
 from postura.llm.substrings import substring_dedup
 from postura.llm.toxicity import fit_model, score
+from postura.sources.files import Files
 
 CARRY = ("text", "lang", "source", "n_chars")
 
@@ -69,7 +75,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed(docs)
+    return pack_documents(docs, public_tokenizers.path(BYTE_VOCABULARY), END_ID, SEQUENCE_TOKENS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -87,8 +93,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            Files(spark, before).delete(before)
+        before = path
     return docs
