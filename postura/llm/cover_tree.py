@@ -9,11 +9,12 @@ scale above. For a pair of a query node and a data node no score can exceed
 of the query node's queries. Pairs are visited by falling bound.
 
 On Spark: equal vectors are one point that keeps its k + 1 smallest ids, as a later copy can't be among the best k
-of any query but its own. Points are dealt to the nearest of a few pivots (a bounded sample); pivots with few points share a block, those
-with many have several, dealt by hash. A block has one tree, in one row. Each query block is first searched against its home block,
-which gives every query a kth score to beat. The bound between the blocks' roots then tells
-which other blocks can hold better ones; only those pairs move. That is a join of a stated query set, in
-blocks, against blocks of all rows.
+of any query but its own. Points are dealt to the nearest of a few pivots, and the points of a pivot that has too many to the nearest of
+a few of their own, again and again, so that a block holds points near each other at any size; a block has one tree, in one
+row. Queries are dealt likewise. Each query block is first searched against the block that holds most of its queries,
+which gives every query a kth score to beat. The bound between the blocks' roots then tells which other blocks
+can hold better ones; only those pairs move, one pair at a time. That is a join of a stated query set, in
+blocks, against blocks of all rows; the roots meet in packets, so that a query block's root travels once a packet.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no part, nor do rows without
 vec_id; rows equal in vec_id and vector are one row; a row never finds rows of its own vec_id; vectors of
@@ -24,19 +25,21 @@ from __future__ import annotations
 
 import math
 import pickle
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postura.llm.common import cut, empty
+from postura.llm.common import cut, empty, join_small
 from postura.llm.vectors import align, asked, finite_vectors, matrix
 
 PIVOTS = 16
-BLOCK = 8192
+DEPTH = 12
+PACKET = 256
+BLOCK = 2048
 QUERY_BLOCK = 1024
+PIECE = 50_000
 LEAF = 24
 NET_ROWS = 512
 EXACT = 2.0**53
@@ -121,6 +124,20 @@ class CoverTree:
         self.norms = np.sqrt((self.centers**2).sum(1))
 
 
+    def __getstate__(self) -> dict:
+        state = self.__dict__.copy()
+        for name in ("points", "centers"):  # whole numbers travel in the narrowest type that holds them
+            m = state[name]
+            most = np.abs(m).max(initial=0)
+            if most < 1 << 31 and (m == np.rint(m)).all():
+                state[name] = m.astype(np.int16 if most < 1 << 15 else np.int32)
+        return state
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.points, self.centers = self.points.astype(np.float64), self.centers.astype(np.float64)
+
+
 class Best:
     """The best points so far of each query: scores falling, ties by the point's smallest id."""
 
@@ -195,131 +212,135 @@ def search(queries: CoverTree, data: CoverTree, k: int, floor: np.ndarray) -> Be
     return best
 
 
-def _plant(ids: str):
+def _plant(block: pa.Table) -> pa.Table:
     """One block's points to one row with its tree."""
-
-    def build(block: pa.Table) -> pa.Table:
-        tree = CoverTree(matrix(block["vector"]), [sorted(set(i)) for i in block[ids].to_pylist()])
-        return pa.table(
-            {
-                "block": pa.array([block["block"][0].as_py()], pa.int64()),
-                "home": pa.array([block["home"][0].as_py()], pa.int64()),
-                "tree": pa.array([pickle.dumps(tree, protocol=5)], pa.binary()),
-                "root": pa.array([tree.centers[0].tolist()], pa.list_(pa.float64())),
-                "radius": pa.array([tree.radius[0]]),
-            }
-        )
-
-    return build
+    tree = CoverTree(matrix(block["vector"]), [sorted(set(i)) for i in block["ids"].to_pylist()])
+    return pa.table(
+        {
+            "block": block["block"][:1],
+            "tree": pa.array([pickle.dumps(tree, protocol=5)], pa.binary()),
+            "root": pa.array([tree.centers[0].tolist()], pa.list_(pa.float64())),
+            "radius": pa.array([tree.radius[0]]),
+        }
+    )
 
 
 def _hunt(k: int):
-    """(query tree, data tree, floors) to (query point, its kth score, score, vec_id)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, query_tree, tree, floors in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                queries, data = pickle.loads(query_tree), pickle.loads(tree)
-                own = [i[0] for i in queries.ids]
-                known = dict((f["query"], f["floor"]) for f in floors or [])
-                found = search(queries, data, k, np.array([known.get(i, -np.inf) for i in own], np.float64))
-                out: list[tuple[int, int, int, int]] = []
-                whole = getattr(found, "whole", None)
-                for n, query in enumerate(own):
-                    entries = sorted((-(int(s) if whole is None else int(whole[n][p])), i) for s, p in zip(found.score[n], found.point[n].tolist(), strict=True) if p >= 0 for i in data.ids[p])
-                    out += [(block, query, -s, i) for s, i in entries[:k]]
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(4)], names=["query_block", "query", "score", "vec_id"])
-
-    return run
-
-
-def _pivoted(points: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """``points`` with the number of the nearest pivot."""
-    names = points.columns
-    at = names.index("vector")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, p = align(matrix(batch.column(at)), pivots)
-                nearest = np.argmin((p**2).sum(1) - 2 * (x @ p.T), axis=1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest.astype(np.int64))], names=[*names, "home"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields)
-    return points.mapInArrow(run, f"{schema}, home long")
-
-
-def _blocked(points: DataFrame, size: int) -> tuple[DataFrame, list[int]]:
-    """``points`` with a block of ``size`` points or so, numbered from 0, and the first block of each pivot.
-    Pivots with few points share a block; those with many have several, dealt by hash."""
-    # one row for each pivot
-    counts = {r["home"]: r["n"] for r in points.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}
-    first, parts, total, room = [], [], 0, 0
-    for home in range(PIVOTS):
-        n = counts.get(home, 0)
-        if n > room:
-            parts.append(math.ceil(n / size))
-            first.append(total)
-            total, room = total + parts[-1], size - n if n <= size else 0
-        else:
-            parts.append(1)
-            first.append(max(0, total - 1))
-            room -= n
-    starts, many = (F.array(*map(F.lit, x)) for x in (first, parts))
-    at = (F.col("home") + 1).cast("int")
-    block = F.element_at(starts, at) + F.pmod(F.xxhash64("vector"), F.element_at(many, at))
-    return points.withColumn("block", block.cast("long")), first
-
-
-def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024) -> DataFrame:
+    """A query block (query_block, query_tree, floors) and a block (tree) to (query_block, query point, score, vec_id)."""
+
+    def pair(asking: pa.Table, asked_of: pa.Table) -> pa.Table:
+        queries, data = pickle.loads(asking["query_tree"][0].as_py()), pickle.loads(asked_of["tree"][0].as_py())
+        own = [i[0] for i in queries.ids]
+        known = dict((f["query"], f["floor"]) for f in asking["floors"][0].as_py() or [])
+        found = search(queries, data, k, np.array([known.get(i, -np.inf) for i in own], np.float64))
+        out: list[tuple[int, int, int]] = []
+        whole = getattr(found, "whole", None)
+        for n, query in enumerate(own):
+            entries = sorted((-(int(s) if whole is None else int(whole[n][p])), i) for s, p in zip(found.score[n], found.point[n].tolist(), strict=True) if p >= 0 for i in data.ids[p])
+            out += [(query, -s, i) for s, i in entries[:k]]
+        numbers = [pa.array([r[c] for r in out], pa.int64()) for c in range(3)]
+        return pa.table([pa.repeat(asking["query_block"][0], len(out)), *numbers], names=["query_block", "query", "score", "vec_id"])
+
+    return pair
+
+
+def _to_nearest(points: pa.Table, pivots: pa.Table) -> pa.Table:
+    """Some points of a home to the homes below it: one for each of its pivots."""
+    x, p = align(matrix(points["vector"]), matrix(pivots["pivot"]))
+    p = p[np.argsort(pivots["number"].to_numpy())]
+    nearest = np.argmin((p**2).sum(1) - 2 * (x @ p.T), axis=1)
+    own = points["home"][0].as_py()
+    home = pa.array([f"{own}{n:x}" for n in nearest.tolist()], pa.string())
+    whole = pa.list_(pa.int64())
+    return pa.table({"vector": points["vector"].cast(whole), "ids": points["ids"].cast(whole), "home": home})
+
+
+def dealt(points: DataFrame, size: int, pivots: int = PIVOTS, depth: int = DEPTH) -> DataFrame:
+    """``points(vector, ids)`` in blocks of at most ``size`` or so: vector, ids, block.
+
+    A home of more points takes ``pivots`` of them, chosen by hash, and each of its points goes to the home of the nearest.
+    The pivots of a home are at most ``pivots`` rows and meet its points in pieces of PIECE. Small homes under one
+    parent share a block. A home that is still too large after ``depth`` rounds is dealt by hash: its points lie so
+    close together that no bound between them would prune.
+    """
+    at = cut(points.select("vector", "ids", F.lit("r").alias("home")))
+    for _ in range(depth):
+        large = cut(at.groupBy("home").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size))
+        if not large.limit(1).count():
+            break
+        pieces = F.ceil(F.col("n") / PIECE).cast("int")
+        splitting = join_small(at, large, ["home"])
+        number = F.row_number().over(Window.partitionBy("home").orderBy(F.xxhash64("vector"), "vector"))
+        chosen = splitting.withColumn("number", number).filter(F.col("number") <= pivots).select("home", "vector", "number", "n")
+        chosen = chosen.select(F.col("home").alias("of"), F.col("vector").alias("pivot"), "number", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("one"))
+        own = splitting.withColumn("piece", F.pmod(F.xxhash64("vector"), pieces.cast("long")).cast("int")).select("vector", "ids", "home", "piece")
+        types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in at.schema.fields)
+        moved = own.groupBy("home", "piece").cogroup(chosen.groupBy("of", "one")).applyInArrow(_to_nearest, types)
+        few = large.limit(100_001).count() <= 100_000
+        at = cut(at.join(F.broadcast(large) if few else large, "home", "left_anti").select(*at.columns).union(moved))
+    homes = at.groupBy("home").agg(F.count(F.lit(1)).alias("n")).withColumn("parent", F.expr("substring(home, 1, length(home) - 1)"))
+    # at most ``pivots`` rows a parent
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("parent").orderBy("home").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shared = homes.select("home", F.when(F.col("n") > size, F.col("home")).otherwise(F.concat("parent", F.lit("/"), F.floor(before / size).cast("string"))).alias("name"), "n")
+    joined = join_small(at, cut(shared), ["home"])
+    part = F.when(F.col("n") > size, F.pmod(F.xxhash64("vector"), F.ceil(F.col("n") / size))).otherwise(0)
+    return joined.select("vector", "ids", F.concat("name", F.lit("."), part.cast("string")).alias("block"))
+
+
+def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, block: int = BLOCK, query_block: int = QUERY_BLOCK, pivots: int = PIVOTS) -> DataFrame:
     """For each row whose vec_id is divisible by ``every`` its k best others: query_id, rank, vec_id, score."""
     spark: SparkSession = vectors.sparkSession
     quantised = F.transform("vector", lambda x: F.floor(x * F.lit(float(scale))).cast("long"))
-    rows = finite_vectors(vectors, "double").select("vec_id", quantised.alias("vector"))
+    rows = cut(finite_vectors(vectors, "double").select("vec_id", quantised.alias("vector")))
     copies = Window.partitionBy("vector").orderBy("vec_id")
     kept = rows.withColumn("nth", F.dense_rank().over(copies)).filter(F.col("nth") <= k + 1)
     # at most k + 1 ids each
     points = kept.groupBy("vector").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     asking = rows.filter(asked(F.col("vec_id"), every))
-    query_points = asking.groupBy("vector").agg(F.min("vec_id").alias("query"))
-    # bounded sample: PIVOTS vectors, only to deal points out
-    sample = points.select("vector").orderBy(F.xxhash64("vector")).limit(PIVOTS).collect()
-    if not sample:
+    query_points = cut(asking.groupBy("vector").agg(F.min("vec_id").alias("query")))
+    if not query_points.limit(1).count():
         return empty(spark, SCHEMA)
-    pivots = matrix(pa.array([r["vector"] for r in sample], pa.list_(pa.int64())))
-    data, first_blocks = _blocked(cut(_pivoted(points, pivots)), BLOCK)
-    queries, _ = _blocked(cut(_pivoted(query_points.select("vector", F.array("query").alias("ids")), pivots)), QUERY_BLOCK)
-    row = "block long, home long, tree binary, root array<double>, radius double"
-    trees = cut(data.groupBy("block").applyInArrow(_plant("ids"), row))
-    query_trees = cut(queries.groupBy("block").applyInArrow(_plant("ids"), row)).select(
-        F.col("block").alias("query_block"), "home", F.col("tree").alias("query_tree"), F.col("root").alias("query_root"), F.col("radius").alias("query_radius")
-    )
-    found = "query_block long, query long, score long, vec_id long"
-    no_floor = F.expr("cast(null as array<struct<query:long,floor:long>>)")
-    # the first data block of a pivot of the query block's
-    query_trees = query_trees.withColumn("done", F.element_at(F.array(*map(F.lit, first_blocks)), (F.col("home") + 1).cast("int")).cast("long"))
-    at_home = query_trees.join(trees.select(F.col("block").alias("done"), "tree"), "done")
-    home = cut(at_home.select("query_block", "query_tree", "tree", no_floor.alias("floors")).repartition("query_block").mapInArrow(_hunt(k + 1), found))
-    kth = home.withColumn("n", F.row_number().over(Window.partitionBy("query_block", "query").orderBy(F.desc("score"), "vec_id"))).filter(F.col("n") == k + 1)
-    floors = kth.groupBy("query_block").agg(F.collect_list(F.struct("query", F.col("score").alias("floor"))).alias("floors"), F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
-    sizes = home.groupBy("query_block").agg(F.count_distinct("query").alias("queries"))
-    floors = sizes.join(floors, "query_block", "left").withColumn("least", F.when(F.col("n") == F.col("queries"), F.col("least")))
-    # every query block meets every data block by number: a list of numbers, not of vectors
-    blocks = trees.select("block", "root", "radius")
-    groups = max(1, trees.count())
-    numbered = blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    # a query block without a home result has no floor and meets every block
-    met = query_trees.join(floors, "query_block", "left").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    dot = F.aggregate(F.zip_with("query_root", "root", lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
-    bound = dot + F.col("query_radius") * norm(F.col("root")) + F.col("radius") * norm(F.col("query_root")) + F.col("query_radius") * F.col("radius")
-    pairs = met.drop("query_tree", "queries", "n").join(numbered, "slot").filter("block <> done")
-    pairs = pairs.filter(F.col("least").isNull() | (bound + F.abs(bound) * 1e-9 + 1e-6 >= F.col("least"))).select("query_block", "block", "floors")
-    others = pairs.join(query_trees.select("query_block", "query_tree"), "query_block").join(trees.select("block", "tree"), "block")
-    others = others.select("query_block", "query_tree", "tree", "floors").repartition("query_block", F.xxhash64("tree")).mapInArrow(_hunt(k + 1), found)
+    data = cut(dealt(points, block, pivots))
+    queries = cut(dealt(query_points.select("vector", F.array("query").alias("ids")), query_block, pivots))
+    row = "block string, tree binary, root array<double>, radius double"
+    trees = cut(data.groupBy("block").applyInArrow(_plant, row))
+    query_trees = cut(queries.groupBy("block").applyInArrow(_plant, row)).toDF("query_block", "query_tree", "query_root", "query_radius")
+    # the block that holds most of a query block's queries
+    homes = queries.select("vector", F.col("block").alias("query_block")).join(data.select("vector", "block"), "vector").groupBy("query_block", "block").agg(F.count(F.lit(1)).alias("n"))
+    first = cut(homes.groupBy("query_block").agg(F.max_by("block", F.struct("n", "block")).alias("done")))
+
+    def hunted(pairs: DataFrame, floors: DataFrame) -> DataFrame:
+        """Results of pairs (query_block, block): each pair's two trees meet alone."""
+        key = ["query_block", "block"]
+        asking_side = pairs.join(query_trees.select("query_block", "query_tree"), "query_block").join(floors, "query_block", "left")
+        asked_side = pairs.join(trees.select("block", "tree"), "block").select(F.col("query_block").alias("a"), F.col("block").alias("b"), "tree")
+        return asking_side.groupBy(*key).cogroup(asked_side.groupBy("a", "b")).applyInArrow(_hunt(k + 1), "query_block string, query long, score long, vec_id long")
+
+    no_floors = query_trees.select("query_block", F.expr("cast(null as array<struct<query:long,floor:long>>)").alias("floors"))
+    home = cut(hunted(first.withColumnRenamed("done", "block"), no_floors))
+    kth = home.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))).filter(F.col("n") == k + 1)
+    # at most a query block's queries each
+    known = cut(kth.groupBy("query_block").agg(F.collect_list(F.struct("query", F.col("score").alias("floor"))).alias("floors"), F.min("score").alias("least"), F.count(F.lit(1)).alias("n")))
+    asked_for = queries.groupBy(F.col("block").alias("query_block")).agg(F.count(F.lit(1)).alias("queries"))
+    least = asked_for.join(known, "query_block", "left").select("query_block", F.when(F.col("n") == F.col("queries"), F.col("least")).alias("least"))
+    pairs = cut(_close_pairs(query_trees.drop("query_tree").join(least, "query_block"), trees.drop("tree")).join(first, "query_block").filter("block <> done").select("query_block", "block"))
+    others = hunted(pairs, known.select("query_block", "floors"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     merged = home.union(others).select("query", "score", "vec_id").withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
     members = asking.distinct().join(query_points, "vector").select(F.col("vec_id").alias("query_id"), "query")
     answered = members.join(merged, "query").filter("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return answered.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _close_pairs(queries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Pairs (query_block, block) whose roots' bound reaches the least score that the query block has to beat (null: any).
+    Blocks come in packets of about PACKET roots, and a query block's root meets each packet once."""
+    packets = max(1, math.ceil(blocks.count() / PACKET))
+    packed = blocks.groupBy(F.pmod(F.xxhash64("block"), F.lit(packets)).cast("int").alias("packet")).agg(F.collect_list(F.struct("block", "root", "radius")).alias("roots"))
+    met = queries.withColumn("packet", F.explode(F.sequence(F.lit(0), F.lit(packets - 1)))).join(packed, "packet")
+    met = met.select("query_block", "query_root", "query_radius", "least", F.inline("roots"))
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    dot = F.aggregate(F.zip_with("query_root", "root", lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
+    bound = dot + F.col("query_radius") * norm(F.col("root")) + F.col("radius") * norm(F.col("query_root")) + F.col("query_radius") * F.col("radius")
+    return met.filter(F.col("least").isNull() | (bound + F.abs(bound) * 1e-9 + 1e-6 >= F.col("least"))).select("query_block", "block")
