@@ -18,6 +18,7 @@ SF_ORACLE = os.environ.get("POSTURA_ORACLE_SF", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cores=4, shuffle_partitions=8, app="postura-tests")
+    s.conf.set("spark.sql.maxMetadataStringLength", "1000")  # plans name their tables in full
     yield s
     s.stop()
 
