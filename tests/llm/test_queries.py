@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 
-from postura.llm import rotated_codes, sharding  # noqa: E402
+from postura.llm import cover_tree, rotated_codes, sharding  # noqa: E402
 from postura.llm.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -169,6 +169,46 @@ def test_hot_cell_has_the_groups_it_needs(spark):
         assert sorted(r["slot"] for r in found if r["shard"] == s) == list(range(counts[s]))
 
 
+@pytest.mark.parametrize("block,query_block,pivots", [(20, 6, 4), (64, 8, 16), (10_000, 10_000, 16)])
+def test_top_k_over_many_blocks(spark, block, query_block, pivots):
+    """Pivots below pivots; copies and near copies of one vector in two thirds of the rows, repeated rows, null ids."""
+    r = np.random.default_rng(5)
+    base = r.normal(size=(600, 12))
+    given = [(i, (base[0] if i % 3 == 0 else base[0] + 2e-3 * base[i] if i % 3 == 1 else base[i]).tolist()) for i in range(600)]
+    given += [given[0], given[100], (None, given[3][1]), (700, None), (800, [float("nan")] * 12)]
+    frame = spark.createDataFrame(given, "vec_id long, embedding array<double>")
+    found = [tuple(x) for x in cover_tree.top_k(frame, 5, 20, 1024, block, query_block, pivots).collect()]
+    assert sorted(found) == sorted(brute.op2(given, 5, 20, 1024))
+
+
+def test_points_near_each_other_share_blocks(spark):
+    """Forty clusters of fifty points: blocks hold whole clusters, and few pairs of blocks are left to search."""
+    r = np.random.default_rng(6)
+    centers = 100 * r.normal(size=(40, 8))
+    rows_ = [(list(map(int, 1000 * (centers[i % 40] + r.normal(size=8)))), [i]) for i in range(2000)]
+    points = spark.createDataFrame(rows_, "vector array<long>, ids array<long>")
+    blocks = cover_tree.dealt(points, 100, 4).collect()
+    assert sorted(b["ids"][0] for b in blocks) == list(range(2000))
+    sizes = {}
+    for b in blocks:
+        sizes.setdefault(b["block"], []).append(b["ids"][0] % 40)
+    assert max(map(len, sizes.values())) < 200
+    split = sum(len({name for name, own in sizes.items() if c in own}) > 1 for c in range(40))
+    assert split <= 8
+    # each block asks for better scores than all but its neighbours can give
+    trees = spark.createDataFrame(
+        [(name, np.mean([rows_[i["ids"][0]][0] for i in blocks if i["block"] == name], axis=0).tolist(), 20_000.0) for name in sizes], "block string, root array<double>, radius double"
+    )
+    asked_for = trees.selectExpr("block as query_block", "root as query_root", "radius as query_radius", "aggregate(root, 0D, (s, x) -> s + x * x) as least")
+    assert cover_tree._close_pairs(asked_for, trees).count() < 0.5 * len(sizes) ** 2
+
+
+def test_close_points_are_dealt_by_hash_at_last(spark):
+    points = spark.range(300).selectExpr("array(id, 0L) as vector", "array(id) as ids")
+    blocks = cover_tree.dealt(points, 20, 2, depth=1).groupBy("block").count().collect()
+    assert sum(b["count"] for b in blocks) == 300 and max(b["count"] for b in blocks) < 60
+
+
 @pytest.mark.parametrize("block,query_block", [(64, 8), (100_000, 100_000)])
 def test_nearest_over_many_blocks(spark, block, query_block):
     """Several blocks of points and queries; copies and near copies of one vector in a third of the rows, repeated rows, null ids."""
