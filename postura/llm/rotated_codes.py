@@ -2,17 +2,20 @@
 
 Method: a unit vector's residual from its block's centroid is turned by a random rotation (a fixed seed) and
 kept as the signs of its coordinates, packed to bits, with two correction scalars: the residual's length and the inner
-product of the code with the residual's direction. The inner product with a query is estimated from the
-packed bits through tables of 256 sums for each byte, divided by that scalar; the estimate errs
-by at most ``spread`` * sqrt((1 - s^2) / (s^2 (dims - 1))) for nearly all vectors. Vectors whose upper bound
-reaches the kth best exact score found so far are chosen for reranking in double precision on the original vectors.
+product of the code with the residual's direction. Short vectors are padded with zeros before the turn, so that a code has
+``bits`` bits at least. The inner product with a query is estimated from the
+bits and divided by that scalar; the estimate errs
+by at most ``spread`` * sqrt((1 - s^2) / (s^2 (dims - 1))) for nearly all vectors. Every vector is estimated for every
+query, and the ``rerank`` largest upper bounds of a query are its candidates. Those of best estimate are scored first, in double
+precision on the original vectors; of the others the ones whose upper bound reaches the kth best of these scores.
 
 On Spark: equal vectors are one point that keeps its k + 1 smallest ids, as a later copy can't be among the best k of any
 query. Points are dealt into blocks by hash, and each block is coded once, into one row of packed bits and scalars. Queries
-are dealt into blocks too, and every pair of blocks is searched twice, which moves codes and query vectors but none
-of the points': first for the points of best estimate, of which the best over all blocks are scored exactly and give
-each query a score to beat; then for all points whose upper bound reaches it. Those are scored by joins that
-fetch their original vectors. Every row is coded; nothing is fitted but a block's own centroid.
+are dealt into blocks too, and every pair of blocks is searched, which moves codes and query vectors but none
+of the points'. As blocks are dealt by hash, a block holds its share of a query's candidates, and gives that share and four
+standard deviations of it more. The candidates that are reranked are scored by joins that fetch their original vectors.
+Every row is coded; nothing is fitted but a block's own centroid. ``rerank`` is the index's one approximation beside the bits; recall
+is measured in the tests and the README.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, take no part, nor do rows
 without vec_id; rows equal in vec_id and vector are one row; a row never finds rows of its own vec_id; vectors of
@@ -28,7 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postura.llm.common import cut, empty
@@ -37,6 +40,8 @@ from postura.llm.vectors import align, asked, finite_vectors, matrix
 BLOCK = 8192
 QUERY_BLOCK = 1024
 FIRST_CHOICE = 8
+RERANK = 256
+BITS = 512
 AT_ONCE = 64
 PAIRS_AT_ONCE = 4096
 SCHEMA = "query_id long, rank int, vec_id long, score double"
@@ -51,33 +56,30 @@ def rotation(dims: int) -> np.ndarray:
 
 
 class Codes:
-    """One-bit codes of unit vectors."""
-
-    def __init__(self, unit: np.ndarray) -> None:
-        n, dims = unit.shape
-        self.dims = -(-dims // 8) * 8
-        padded = np.pad(unit, ((0, 0), (0, self.dims - dims)))
-        self.centroid = padded.mean(0)
-        residual = padded - self.centroid
+    """One-bit codes of unit vectors, padded with zeros to ``bits`` dimensions at least: more bits, smaller errors."""
+
+    def __init__(self, unit: np.ndarray, bits: int) -> None:
+        n, wide = unit.shape
+        self.dims = -(-max(wide, bits) // 8) * 8
+        self.centroid = unit.mean(0)
+        residual = unit - self.centroid
         self.length = np.sqrt((residual**2).sum(1))
-        turned = residual @ rotation(self.dims)
+        turned = residual @ rotation(self.dims)[:wide]
         self.bits = np.packbits(turned > 0, axis=1, bitorder="little")
         with np.errstate(divide="ignore", invalid="ignore"):
             self.aligned = np.abs(turned).sum(1) / (math.sqrt(self.dims) * self.length)
         self.aligned[self.length == 0] = 1.0
 
-    def estimate(self, queries: np.ndarray, spread: float) -> tuple[np.ndarray, np.ndarray]:
+    def signs(self) -> np.ndarray:
+        """The codes, unpacked to +1 and -1."""
+        return np.unpackbits(self.bits, axis=1, bitorder="little").astype(np.float32) * 2 - 1
+
+    def estimate(self, queries: np.ndarray, signs: np.ndarray, spread: float) -> tuple[np.ndarray, np.ndarray]:
         """Estimated inner products with unit queries, and how far they may be off."""
-        if queries.shape[1] > self.dims:  # the block's vectors have zeros there
-            queries = queries[:, : self.dims]
-        padded = np.pad(queries, ((0, 0), (0, self.dims - queries.shape[1])))
-        turned = (padded @ rotation(self.dims)).reshape(len(padded), -1, 8) / math.sqrt(self.dims)
-        signs = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little") * 2.0 - 1
-        tables = turned @ signs.T  # for each query and byte of a code, the sum of its 8 signed coordinates
-        with_code = np.zeros((len(padded), len(self.bits)))
-        for b in range(self.bits.shape[1]):
-            with_code += np.take(tables[:, b, :], self.bits[:, b], axis=1)
-        middle = (padded @ self.centroid)[:, None] + self.length * (with_code / self.aligned)
+        q, c = align(queries, self.centroid[None])  # beyond a block's width its vectors are zero
+        turned = q[:, : self.dims] @ rotation(self.dims)[: q.shape[1]]
+        with_code = (turned.astype(np.float32) @ signs.T) / math.sqrt(self.dims)
+        middle = q @ c.T + self.length * (with_code / self.aligned)
         off = self.length * spread * np.sqrt(np.maximum(0, 1 - self.aligned**2) / (self.aligned**2 * max(1, self.dims - 1)))
         return middle, off
 
@@ -100,56 +102,41 @@ def unit(m: np.ndarray) -> np.ndarray:
     return m / np.sqrt((m * m).sum(1))[:, None]
 
 
-def promising(codes: Codes, queries: np.ndarray, count: int, spread: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, point, estimate) of each unit query's ``count`` points of best estimate."""
+def promising(codes: Codes, queries: np.ndarray, count: int, spread: float) -> tuple[np.ndarray, ...]:
+    """(query row, point, estimate, upper bound) of each unit query's ``count`` points of largest upper bound."""
     out: list[tuple[np.ndarray, ...]] = []
-    count = min(count, len(codes.bits))
+    count, signs = min(count, len(codes.bits)), codes.signs()
     for at in range(0, len(queries), AT_ONCE):
-        middle, _ = codes.estimate(queries[at : at + AT_ONCE], spread)
-        few = np.argpartition(-middle, count - 1, axis=1)[:, :count]
+        middle, off = codes.estimate(queries[at : at + AT_ONCE], signs, spread)
+        upper = middle + off
+        few = np.argpartition(-upper, count - 1, axis=1)[:, :count]
         rows = np.repeat(np.arange(at, at + len(middle)), count)
-        out.append((rows, few.ravel(), np.take_along_axis(middle, few, 1).ravel()))
+        out.append((rows, few.ravel(), *(np.take_along_axis(m, few, 1).ravel() for m in (middle, upper))))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def reaching(codes: Codes, queries: np.ndarray, floors: np.ndarray, spread: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query row, point) of the points whose upper bound is at least the query's floor."""
-    out: list[tuple[np.ndarray, ...]] = []
-    for at in range(0, len(queries), AT_ONCE):
-        middle, off = codes.estimate(queries[at : at + AT_ONCE], spread)
-        row, point = np.nonzero(middle + off >= floors[at : at + AT_ONCE, None])
-        out.append((row + at, point))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+def _encode(bits: int):
+    """One block's points to one row with their codes."""
 
+    def encode(block: pa.Table) -> pa.Table:
+        coded = pickle.dumps((Codes(unit(matrix(block["vector"])), bits), block["point"].to_numpy()), protocol=5)
+        return pa.table({"d": block["d"][:1], "codes": pa.array([coded], pa.binary())})
 
-def _encode(block: pa.Table) -> pa.Table:
-    """One block's points to one row with their codes."""
-    coded = pickle.dumps((Codes(unit(matrix(block["vector"]))), block["point"].to_numpy()), protocol=5)
-    return pa.table({"d": block["d"][:1], "codes": pa.array([coded], pa.binary())})
+    return encode
 
 
 def _gather(block: pa.Table) -> pa.Table:
     """One block's queries to one row."""
-    asked_for = pickle.dumps((unit(matrix(block["vector"])), block["query"].to_numpy(), block["floor"].to_numpy(zero_copy_only=False)), protocol=5)
+    asked_for = pickle.dumps((unit(matrix(block["vector"])), block["query"].to_numpy()), protocol=5)
     return pa.table({"q": block["q"][:1], "queries": pa.array([asked_for], pa.binary())})
 
 
-def _best_estimates(count: int, spread: float):
+def _largest_bounds(count: int, spread: float):
     def pair(queries: pa.Table, data: pa.Table) -> pa.Table:
-        vectors, ids, _ = pickle.loads(queries["queries"][0].as_py())
+        vectors, ids = pickle.loads(queries["queries"][0].as_py())
         codes, points = pickle.loads(data["codes"][0].as_py())
-        rows, found, estimate = promising(codes, vectors, count, spread)
-        return pa.table({"query": ids[rows], "point": points[found], "estimate": estimate})
-
-    return pair
-
-
-def _within_bounds(spread: float):
-    def pair(queries: pa.Table, data: pa.Table) -> pa.Table:
-        vectors, ids, floors = pickle.loads(queries["queries"][0].as_py())
-        codes, points = pickle.loads(data["codes"][0].as_py())
-        rows, found = reaching(codes, vectors, np.where(np.isnan(floors), -np.inf, floors), spread)
-        return pa.table({"query": ids[rows], "point": points[found]})
+        rows, found, estimate, upper = promising(codes, vectors, count, spread)
+        return pa.table({"query": ids[rows], "point": points[found], "estimate": estimate, "upper": upper})
 
     return pair
 
@@ -169,7 +156,9 @@ def _scored(pairs: DataFrame, queries: DataFrame, points: DataFrame) -> DataFram
     return both.mapInArrow(run, "query long, point long, ids array<long>, score double")
 
 
-def approximate_nearest(vectors: DataFrame, k: int = 5, every: int = 50, spread: float = 2.5, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+def approximate_nearest(
+    vectors: DataFrame, k: int = 5, every: int = 50, spread: float = 1.9, rerank: int = RERANK, bits: int = BITS, block: int = BLOCK, query_block: int = QUERY_BLOCK
+) -> DataFrame:
     """For each row whose vec_id is divisible by ``every`` its k nearest others found: query_id, rank, vec_id, score."""
     element = vectors.schema["embedding"].dataType.elementType.simpleString()
     rows = finite_vectors(vectors, "float" if element == "float" else "double").filter(F.exists("vector", lambda x: x != 0))
@@ -193,23 +182,22 @@ def approximate_nearest(vectors: DataFrame, k: int = 5, every: int = 50, spread:
     def every_one(parts: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
 
-    codes = cut(points.select(deal("point", blocks).alias("d"), "point", "vector").groupBy("d").applyInArrow(_encode, "d int, codes binary"))
-    codes = codes.withColumn("q", every_one(query_blocks)).groupBy("d", "q")
-
-    def gathered(floors: DataFrame | None) -> GroupedData:
-        own = queries.withColumn("floor", F.lit(None).cast("double")) if floors is None else queries.join(floors, "query", "left")
-        one = own.withColumn("q", deal("query", query_blocks)).groupBy("q").applyInArrow(_gather, "q int, queries binary")
-        return one.withColumn("d", every_one(blocks)).groupBy("d", "q")
-
-    count = FIRST_CHOICE * (k + 1)
-    guess = gathered(None).cogroup(codes).applyInArrow(_best_estimates(count, spread), "query long, point long, estimate double")
-    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("estimate"), "point"))
-    first = cut(_scored(guess.withColumn("n", nth).filter(F.col("n") <= count).select("query", "point"), queries, points))
+    codes = cut(points.select(deal("point", blocks).alias("d"), "point", "vector").groupBy("d").applyInArrow(_encode(bits), "d int, codes binary"))
+    codes = codes.withColumn("q", every_one(query_blocks))
+    gathered = queries.withColumn("q", deal("query", query_blocks)).groupBy("q").applyInArrow(_gather, "q int, queries binary").withColumn("d", every_one(blocks))
+    share = rerank / blocks
+    each = math.ceil(share + 4 * math.sqrt(share)) + k + 1
+    bounds = gathered.groupBy("d", "q").cogroup(codes.groupBy("d", "q")).applyInArrow(_largest_bounds(each, spread), "query long, point long, estimate double, upper double")
+    by_bound = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("upper"), "point"))
+    by_estimate = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("estimate"), "point"))
+    candidates = cut(bounds.withColumn("n", by_bound).filter(F.col("n") <= rerank).withColumn("n", by_estimate))
+    few = FIRST_CHOICE * (k + 1)
+    first = cut(_scored(candidates.filter(F.col("n") <= few).select("query", "point"), queries, points))
     # a query's own point may be its best, so that the score to beat is that of the point after the kth
     beat = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
     floors = first.withColumn("n", beat).filter(F.col("n") == k + 1).select("query", F.col("score").alias("floor"))
-    reach = gathered(floors).cogroup(codes).applyInArrow(_within_bounds(spread), "query long, point long")
-    more = _scored(reach.join(first.select("query", "point"), ["query", "point"], "left_anti"), queries, points)
+    others = candidates.filter(F.col("n") > few).join(floors, "query").filter("upper >= floor").select("query", "point")
+    more = _scored(others, queries, points)
     found = first.union(more).withColumn("vec_id", F.explode("ids")).select("query", "vec_id", "score")
     answered = members.select("query_id", "query").join(found, "query").filter("vec_id <> query_id")
     best = answered.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
