@@ -227,6 +227,52 @@ def test_nearest_over_many_blocks(spark, block, query_block):
     assert all(abs(found[q, i] - s) < 1e-12 for q, _, i, s in want if (q, i) in found)
 
 
+@pytest.mark.parametrize("kind", ["near one direction", "clusters", "clusters in clusters", "ids with several vectors", "few ids", "short"])
+def test_nearest_among_many_close_vectors(spark, kind):
+    """More vectors near each query than any fixed number of candidates holds."""
+    r = np.random.default_rng(7)
+    n, wide = 3000, 3 if kind == "short" else 24
+    ids, centre = np.arange(n), r.normal(size=(4, wide))[np.arange(n) % 4]
+    x = {"near one direction": 5 + 0.2 * r.normal(size=(n, wide)), "short": r.normal(size=(n, wide))}.get(kind, centre + 0.01 * r.normal(size=(n, wide)))
+    if kind == "clusters in clusters":
+        x = (centre[:400] + 0.01 * r.normal(size=(400, wide)))[np.arange(n) % 400] + 1e-5 * r.normal(size=(n, wide))
+    if kind == "ids with several vectors":  # up to 30 of each id, all near each other
+        ids = r.permutation(np.arange(n) // 4 % 25 + 25 * (np.arange(n) % 4))
+    if kind == "few ids":
+        ids = np.arange(n) % 4 + 50
+        x, ids = x[:200], ids[:200]
+    given = [(int(i), [float(np.float32(c)) for c in v]) for i, v in zip(ids, x, strict=True)]
+    found = rotated_codes.approximate_nearest(spark.createDataFrame(given, "vec_id long, embedding array<float>"), 5, 50, block=1000, query_block=40).collect()
+    m = np.array([v for _, v in given])
+    m /= np.sqrt((m * m).sum(1))[:, None]
+    want = []
+    for q in sorted({i for i, _ in given if i % 50 == 0}):
+        own = np.flatnonzero(ids == q)
+        best = (m[own] @ m.T).max(0)
+        near = sorted((-max(best[ids == i]), int(i)) for i in set(ids.tolist()) - {q})
+        want += [(q, i, -s) for s, i in near[:5]]
+    scores = {(f["query_id"], f["vec_id"]): f["score"] for f in found}
+    assert len(found) == len(scores) == len(want)
+    hit = [abs(scores[q, i] - s) < 1e-12 for q, i, s in want if (q, i) in scores]
+    assert all(hit) and len(hit) >= 0.98 * len(want)
+
+
+def test_codes_tell_near_vectors_apart():
+    """The bounds hold for nearly all vectors, and are the closer the nearer the vectors are."""
+    r = np.random.default_rng(8)
+    x = rotated_codes.unit(np.concatenate([r.normal(size=(500, 40)), 5 + 1e-3 * r.normal(size=(500, 40))]))
+    codes = rotated_codes.Codes(x, np.arange(1000), rotated_codes.LEVELS)
+    middle, off = codes.estimate(x, codes.vectors(), 3.0)
+    wrong = np.abs(middle - x @ x.T)
+    assert (wrong <= off).mean() > 0.99
+    assert off[:500, :500].max() < 0.05 and off[500:, 500:].max() < 1e-7
+    # of ids with several vectors the best one counts
+    ids = np.repeat(np.arange(10), 100)
+    floors = rotated_codes.Codes(x, ids, 2).floors(x @ x.T, 3)
+    assert np.allclose(floors, np.sort((x @ x.T).reshape(1000, 10, 100).max(2))[:, -3])
+    assert (rotated_codes.Codes(x, ids, 2).floors(x @ x.T, 11) == -np.inf).all()
+
+
 def test_passage_between_varying_neighbours(spark, tmp_path, monkeypatch):
     """A passage in every document, each time between other words, and once more in the same document."""
     passage = " ".join(f"p{i}" for i in range(30))
